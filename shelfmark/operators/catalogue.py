@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ladders
-from ..functions.text import KEYWORDS
-from . import keywords as kw
+from ..functions.text import KEYWORDS, keyword_total
 from . import reports as rp
 from .filters import has_items, has_text
 
@@ -108,13 +107,19 @@ def similar_trend(performance: DataFrame) -> DataFrame:
     return rp.linear_trend(performance, "avg_similar_count", "avg_rating")
 
 
+def _keyword_total(text: str, keywords: Sequence[str], match: str) -> tuple[dict, tuple]:
+    """The lower-cased text as input, and as a layer on it the number of keywords found."""
+    return ({"text": F.when(has_text(text), F.lower(F.col(text)))},
+            (lambda m: {"value": keyword_total(m("text"), keywords, match)},))
+
+
 def keyword_density(text: str = "description", keywords: Sequence[str] = KEYWORDS,
                     match: str = "substring", ladder=ladders.KEYWORD_DENSITY) -> rp.Report:
-    total = F.when(has_text(text), kw.total_column(text, keywords, match))
-    return rp.histogram("keyword_count_distribution", total, ladder, "keyword_category")
+    inputs, layers = _keyword_total(text, keywords, match)
+    return rp.histogram_of("keyword_count_distribution", inputs, layers, ladder, "keyword_category")
 
 
 def average_keywords(text: str = "description", keywords: Sequence[str] = KEYWORDS,
                      match: str = "substring") -> rp.Report:
-    total = F.when(has_text(text), kw.total_column(text, keywords, match))
-    return rp.average("avg_keywords", total, "avg_keywords_per_book")
+    inputs, layers = _keyword_total(text, keywords, match)
+    return rp.average_of("avg_keywords", inputs, layers, "avg_keywords_per_book")

@@ -34,7 +34,9 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
               hot: Sequence | None = None, salts: int = 64) -> DataFrame:
     """``fact`` joined to ``dim`` on ``key``, with the rows of hot keys spread out.
 
-    Without hot keys this is the plain join, and Spark picks broadcast or
+    ``hot`` are the keys to spread; when it is not given they are looked for in
+    ``fact``, which should then be a table or a materialised frame, or the look
+    repeats what makes it. Without hot keys this is the plain join, and Spark picks broadcast or
     sort-merge by size. Otherwise each hot key of ``fact`` is split into
     ``salts`` parts by a hash of the whole row (not by a random number, so a
     retried task routes every row as before), and only the few ``dim`` rows with

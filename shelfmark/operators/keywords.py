@@ -2,18 +2,14 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import percent
-from ..functions.text import KEYWORDS, keyword_total, mentions
+from ..functions.text import KEYWORDS, mentions
 from . import reports as rp
 from .filters import has_text
 
 
-def total_column(text: str, keywords: Sequence[str] = KEYWORDS, match: str = "substring") -> Column:
-    return keyword_total(F.lower(F.col(text)), keywords, match)
-
-
 def keyword_report(text: str = "description", keywords: Sequence[str] = KEYWORDS,
                    match: str = "substring") -> rp.Report:
     """Per keyword, the number and percentage of non-empty texts containing it.

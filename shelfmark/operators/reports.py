@@ -17,47 +17,61 @@ from ..functions.numbers import percent, rounded
 from .filters import has_items, has_text
 
 Named = Callable[[str], Column]
+Layer = Callable[[Named], dict[str, Column]]
 
 
 @dataclass(frozen=True)
 class Report:
+    """``inputs`` are read from the rows; each further layer is built on the one before.
+
+    Layers keep an expensive value that many expressions use (lower-cased text, a
+    keyword count) from being worked out more than once per row.
+    """
+
     name: str
     inputs: dict[str, Column]
-    measures: Callable[[Named], dict[str, Column]]
+    measures: Layer
     rows: Callable[[Named], list[Column]]
+    layers: tuple[Layer, ...] = ()
     drop_if_zero: str | None = None
     label: str | None = None
     sketch: bool = False
 
-    def _named(self, key: str) -> Column:
+    def named(self, key: str) -> Column:
         return F.col(f"{self.name}__{key}")
 
-    def input_columns(self) -> list[Column]:
-        return [c.alias(f"{self.name}__{k}") for k, c in self.inputs.items()]
+    def _aliased(self, columns: dict[str, Column]) -> list[Column]:
+        return [c.alias(f"{self.name}__{k}") for k, c in columns.items()]
+
+    def projections(self, depth: int) -> list[list[Column]]:
+        """The select lists from the rows to the aggregate's inputs, ``depth`` + 1 of them."""
+        steps, names = [self._aliased(self.inputs)], list(self.inputs)
+        for layer in self.layers:
+            columns = layer(self.named)
+            steps.append(self._aliased(columns))
+            names = list(columns)
+        while len(steps) <= depth:
+            steps.append([self.named(k) for k in names])
+        return steps
 
-    def measure_columns(self) -> list[Column]:
-        return [c.alias(f"{self.name}__{k}") for k, c in self.measures(self._named).items()]
+    def aggregates(self) -> list[Column]:
+        return self._aliased(self.measures(self.named))
 
     def read(self, measured: DataFrame) -> DataFrame:
         """The report's rows, from a frame made by ``measure``."""
-        out = measured.select(F.inline(F.array(*self.rows(self._named))))
-        if self.drop_if_zero:
-            out = out.filter(F.col(self.drop_if_zero) > 0)
-        return out
+        out = measured.select(F.inline(F.array(*self.rows(self.named))))
+        return out.filter(F.col(self.drop_if_zero) > 0) if self.drop_if_zero else out
 
     def of(self, df: DataFrame) -> DataFrame:
         return self.read(measure(df, [self]))
 
 
 def measure(df: DataFrame, reports: Sequence[Report]) -> DataFrame:
-    """One row with the measures of all ``reports``, from one scan of ``df``.
-
-    Inputs are projected first, so a bucket number or keyword count is worked
-    out once per row however many aggregates use it.
-    """
-    inputs = [c for r in reports for c in r.input_columns()]
-    measures = [c for r in reports for c in r.measure_columns()]
-    return df.select(*inputs).agg(*measures)
+    """One row with the measures of all ``reports``, from one scan of ``df``."""
+    depth = max(len(r.layers) for r in reports)
+    for step in zip(*(r.projections(depth) for r in reports)):
+        df = df.select(*[column for columns in step for column in columns])
+    return df.agg(*[c for r in reports for c in r.aggregates()])
 
 
 def _rows_where(condition: Column) -> Column:
@@ -73,6 +87,12 @@ def histogram(name: str, value: Column, ladder: Ladder, label: str, count: str =
     The percentage is taken of the rows with a value, or of all rows when
     ``share_of_all`` (rows without a value then count in the denominator only).
     """
+    return histogram_of(name, {"value": value}, (), ladder, label, count, share_of_all)
+
+
+def histogram_of(name: str, inputs: dict[str, Column], layers: Sequence[Layer], ladder: Ladder,
+                 label: str, count: str = "book_count", share_of_all: bool = False) -> Report:
+    """A histogram of ``value``, which ``inputs`` or the last of ``layers`` provides."""
     labels = ladder.labels
 
     def measures(m):
@@ -85,7 +105,8 @@ def histogram(name: str, value: Column, ladder: Ladder, label: str, count: str =
                          percent(m(f"n{i}"), m("total")).alias("percentage"))
                 for i, text in enumerate(labels)]
 
-    return Report(name, {"bucket": ladder.ordinal(value)}, measures, rows, drop_if_zero=count, label=label)
+    place = lambda m: {"bucket": ladder.ordinal(m("value"))}
+    return Report(name, inputs, measures, rows, (*layers, place), drop_if_zero=count, label=label)
 
 
 def histograms_together(df: DataFrame, histograms: Sequence[Report]) -> DataFrame:
@@ -94,10 +115,14 @@ def histograms_together(df: DataFrame, histograms: Sequence[Report]) -> DataFram
         return F.struct(F.lit(report.name).alias("report"), row[report.label].alias("bucket"),
                         row[report.drop_if_zero].alias("book_count"), row["percentage"].alias("percentage"))
 
-    rows = [uniform(r, row) for r in histograms for row in r.rows(r._named)]
+    rows = [uniform(r, row) for r in histograms for row in r.rows(r.named)]
     return measure(df, histograms).select(F.inline(F.array(*rows))).filter(F.col("book_count") > 0)
 
 
+def _places(row_ladder: Ladder, col_ladder: Ladder) -> Layer:
+    return lambda m: {"row": row_ladder.ordinal(m("row")), "col": col_ladder.ordinal(m("col"))}
+
+
 def crosstab(name: str, row_value: Column, row_ladder: Ladder, row_label: str,
              col_value: Column, col_ladder: Ladder, col_label: str,
              count: str = "book_count") -> Report:
@@ -113,8 +138,8 @@ def crosstab(name: str, row_value: Column, row_ladder: Ladder, row_label: str,
         return [F.struct(F.lit(r).alias(row_label), F.lit(c).alias(col_label),
                          m(f"n{i}_{j}").alias(count)) for r, c, i, j in cells]
 
-    return Report(name, {"row": row_ladder.ordinal(row_value), "col": col_ladder.ordinal(col_value)},
-                  measures, rows, drop_if_zero=count)
+    return Report(name, {"row": row_value, "col": col_value}, measures, rows,
+                  (_places(row_ladder, col_ladder),), drop_if_zero=count)
 
 
 def crosstab_matrix(name: str, row_value: Column, row_ladder: Ladder, row_label: str,
@@ -129,17 +154,18 @@ def crosstab_matrix(name: str, row_value: Column, row_ladder: Ladder, row_label:
                          *[m(f"n{i}_{j}").alias(c) for j, c in enumerate(col_ladder.labels)])
                 for i, r in enumerate(row_ladder.labels)]
 
-    return Report(name, {"row": row_ladder.ordinal(row_value), "col": col_ladder.ordinal(col_value)},
-                  measures, rows)
+    return Report(name, {"row": row_value, "col": col_value}, measures, rows,
+                  (_places(row_ladder, col_ladder),))
 
 
 def profile(name: str, value: Column, ladder: Ladder, label: str, averages: dict[str, Column],
             count: str = "book_count") -> Report:
     """Rows per bucket with rounded averages; only rows where every input is known."""
-    known = value.isNotNull()
-    for column in averages.values():
-        known = known & column.isNotNull()
-    inputs = {"bucket": F.when(known, ladder.ordinal(value)), **averages}
+    def place(m):
+        known = m("value").isNotNull()
+        for a in averages:
+            known = known & m(a).isNotNull()
+        return {"bucket": F.when(known, ladder.ordinal(m("value"))), **{a: m(a) for a in averages}}
 
     def measures(m):
         out = {}
@@ -155,7 +181,7 @@ def profile(name: str, value: Column, ladder: Ladder, label: str, averages: dict
                          *[rounded(m(f"{a}{i}")).alias(a) for a in averages])
                 for i, text in enumerate(ladder.labels)]
 
-    return Report(name, inputs, measures, rows, drop_if_zero=count)
+    return Report(name, {"value": value, **averages}, measures, rows, (place,), drop_if_zero=count)
 
 
 # ---------------------------------------------------------------- summaries
@@ -241,8 +267,12 @@ def presence(name: str, present: Column, with_label: str, without_label: str) ->
 
 def average(name: str, value: Column, label: str) -> Report:
     """The rounded mean of ``value`` over the rows where it is known."""
-    return Report(name, {"v": value}, lambda m: {"avg": F.avg(m("v"))},
-                  lambda m: [F.struct(rounded(m("avg")).alias(label))])
+    return average_of(name, {"value": value}, (), label)
+
+
+def average_of(name: str, inputs: dict[str, Column], layers: Sequence[Layer], label: str) -> Report:
+    return Report(name, inputs, lambda m: {"avg": F.avg(m("value"))},
+                  lambda m: [F.struct(rounded(m("avg")).alias(label))], tuple(layers))
 
 
 def average_size(name: str, array: str, label: str) -> Report:

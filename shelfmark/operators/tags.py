@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import GENERIC_SHELVES
 from .filters import has_items
@@ -62,13 +62,16 @@ def top_topics(df: DataFrame, k: int = 3, key: str = "book_id", title: str = "ti
     what ``key_uniqueness`` verifies; ``top_topics_of_rows`` does without.
     """
     generic = F.array(*[F.lit(v) for v in exclude]).cast("array<string>")
-    usable = F.filter(F.col(array), lambda s: s["name"].isNotNull() & ~F.array_contains(generic, s["name"]))
-    ranked = F.array_sort(F.transform(usable, lambda s: F.struct(
+
+    def usable(s: Column) -> Column:
+        return s["name"].isNotNull() & ~F.array_contains(generic, s["name"])
+
+    ranked = F.array_sort(F.transform(F.filter(array, usable), lambda s: F.struct(
         s["count"].try_cast("int").isNull().alias("unknown"),
         (-s["count"].try_cast("long")).alias("order"),
         s["name"].alias("name"))))
-    return (df.select(key, title, F.transform(F.slice(ranked, 1, k), lambda s: s["name"]).alias("topics"))
-              .filter(has_items("topics")))
+    return (df.filter(F.exists(array, usable))
+              .select(key, title, F.transform(F.slice(ranked, 1, k), lambda s: s["name"]).alias("topics")))
 
 
 def top_topics_of_rows(tags: DataFrame, k: int = 3, key: str = "book_id", title: str = "title",

@@ -13,6 +13,7 @@ from ..functions.numbers import rounded
 from ..functions.text import alnum_only, letters_only
 from ..operators import (catalogue as cat, clustering, etl, filters, keywords as kw, ratings as rt,
                          recommend as rec, reports as rp, sentiment as sn, tags)
+from ..operators.joins import hot_keys
 from ..schemas import LEXICON
 from ..sources import files, tables as tb
 
@@ -349,7 +350,7 @@ def specific_shelves(spark, sf):
   FROM ratings JOIN books USING (book_id)""")
 def reviews_with_books(spark, sf):
     books = tb.catalogue(spark, sf).select("book_id", "title", "num_pages")
-    return etl.reviews_with_books(tb.ratings(spark, sf), books)
+    return etl.reviews_with_books(tb.ratings(spark, sf), books, hot=tb.hot_books(spark, sf))
 
 
 @query("""SELECT doc_id AS book_id, doc_id % 50 AS user_id, text AS review_text, quality AS rating,
@@ -357,7 +358,8 @@ def reviews_with_books(spark, sf):
 FROM documents LEFT JOIN labels USING (doc_id) JOIN part ON doc_id = p_partkey WHERE length(text) > 10""")
 def nlp_subset(spark, sf):
     books = tb.catalogue(spark, sf).select("book_id", "title")
-    return etl.nlp_subset(etl.reviews_with_books(tb.text_reviews(spark, sf), books))
+    hot = hot_keys(tb.table(spark, sf, "documents"), "doc_id")
+    return etl.nlp_subset(etl.reviews_with_books(tb.text_reviews(spark, sf), books, hot=hot))
 
 
 @query(f"""WITH {RATINGS}, {RATED}, {SHELF_ROWS}, listed AS (
@@ -367,7 +369,8 @@ SELECT r.user_id, r.book_id, r.rating, title, s AS popular_shelves, n_series,
        array_to_string(similar_books, '|') AS similar_books, description, average_rating
 FROM ratings r JOIN rated USING (book_id) LEFT JOIN listed ON r.book_id = b WHERE r.rating > 0""")
 def rec_subset(spark, sf):
-    full = etl.reviews_with_books(tb.ratings(spark, sf), tb.full_catalogue(spark, sf))
+    full = etl.reviews_with_books(tb.ratings(spark, sf), tb.full_catalogue(spark, sf),
+                                  hot=tb.hot_books(spark, sf))
     shelf = F.transform("popular_shelves", lambda s: F.concat_ws(":", s["count"], s["name"]))
     return etl.rec_subset(full).select(
         "user_id", "book_id", "rating", "title", F.array_join(shelf, "|").alias("popular_shelves"),

@@ -95,12 +95,16 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_added"))
 
 
+def hot_books(spark: SparkSession, folder: str) -> list:
+    """Parts with a large share of the line items, found in the table itself."""
+    return hot_keys(table(spark, folder, "lineitem"), "l_partkey")
+
+
 def titled_ratings(spark: SparkSession, folder: str) -> DataFrame:
     given = ratings(spark, folder).select("user_id", "book_id", "rating")
     titles = table(spark, folder, "part").select(F.col("p_partkey").alias("book_id"),
                                                  F.col("p_name").alias("title"))
-    return skew_join(given, titles, "book_id",
-                     hot=hot_keys(table(spark, folder, "lineitem"), "l_partkey"))
+    return skew_join(given, titles, "book_id", hot=hot_books(spark, folder))
 
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
