@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import alnum_only, words
-from .joins import skew_join
+from .joins import hot_keys, skew_join
 
 # A lexicon up to this many words travels inside the plan (a few MB at most).
 MAX_INLINE_WORDS = 50_000
@@ -27,23 +27,20 @@ def _one_polarity_per_word(lexicon: DataFrame) -> DataFrame:
                    .agg(F.avg("polarity").alias("polarity")))
 
 
-def sentiment_score(df: DataFrame, text: str, lexicon: DataFrame, key: Sequence[str] = (),
-                    replacement: str = "", score: str = "sentiment_score",
-                    max_inline: int = MAX_INLINE_WORDS) -> DataFrame:
+def sentiment_score(df: DataFrame, text: str, lexicon: DataFrame, replacement: str = "",
+                    score: str = "sentiment_score", max_inline: int = MAX_INLINE_WORDS) -> DataFrame:
     """``df`` with the sentiment of ``text`` in a new column.
 
-    A lexicon of at most ``max_inline`` words is counted first and then looked up
-    row by row: the texts are neither exploded nor shuffled. A larger one is
-    joined word by word instead, which needs the unique ``key`` of the rows.
+    A lexicon of at most ``max_inline`` words is fetched (one word more tells
+    whether it is) and looked up row by row: the texts are neither exploded nor
+    shuffled. A larger one is joined word by word instead.
     """
     lexicon = _one_polarity_per_word(lexicon)
     entries = lexicon.limit(max_inline + 1).collect()
     if len(entries) <= max_inline:
         table = {row["word"]: row["polarity"] for row in entries}
         return df.withColumn(score, _inline_score(words(alnum_only(F.col(text), replacement)), table))
-    if not key:
-        raise ValueError(f"a lexicon of more than {max_inline} words needs the key of the rows")
-    return _joined_score(df, text, lexicon, list(key), replacement, score)
+    return _joined_score(df, text, lexicon, replacement, score)
 
 
 def _inline_score(tokens: Column, table: dict[str, float]) -> Column:
@@ -65,14 +62,21 @@ def _inline_score(tokens: Column, table: dict[str, float]) -> Column:
         lambda acc: F.coalesce(F.try_divide(acc["sum"], acc["n"]), F.lit(0.0)))
 
 
-def _joined_score(df: DataFrame, text: str, lexicon: DataFrame, key: list[str],
-                  replacement: str, score: str) -> DataFrame:
-    tokens = df.select(*key, F.explode(words(alnum_only(F.col(text), replacement))).alias("word"))
-    counted = tokens.groupBy(*key, "word").agg(F.count(F.lit(1)).alias("n"))
-    scores = (skew_join(counted, lexicon, "word")
-              .groupBy(*key)
+def _joined_score(df: DataFrame, text: str, lexicon: DataFrame, replacement: str, score: str) -> DataFrame:
+    """The same through joins. The score depends on the text alone, so its digest is the key:
+    copies of a text fall together while counting, and a much copied one is salted when the
+    scores go back to the rows.
+    """
+    digest = F.sha2(F.col(text), 256).alias("_digest")
+    tokens = df.select(digest, F.explode(words(alnum_only(F.col(text), replacement))).alias("word"))
+    counted = tokens.groupBy("_digest", "word").agg(F.count(F.lit(1)).alias("n"))
+    common = hot_keys(tokens, "word")
+    scores = (skew_join(counted, lexicon, "word", hot=common)
+              .groupBy("_digest")
               .agg((F.sum(F.col("polarity") * F.col("n")) / F.sum("n")).alias(score)))
-    return df.join(scores, key, "left").withColumn(score, F.coalesce(score, F.lit(0.0)))
+    copied = hot_keys(df.select(digest), "_digest")
+    return (skew_join(df.select("*", digest), scores, "_digest", "left", hot=copied)
+            .select(*df.columns, F.coalesce(score, F.lit(0.0)).alias(score)))
 
 
 def sentiment_label(score: str | Column = "sentiment_score") -> Column:
@@ -83,9 +87,9 @@ def sentiment_label(score: str | Column = "sentiment_score") -> Column:
 
 
 def score_reviews(reviews: DataFrame, lexicon: DataFrame, text: str = "review_text",
-                  key: Sequence[str] = (), replacement: str = "") -> DataFrame:
+                  replacement: str = "", max_inline: int = MAX_INLINE_WORDS) -> DataFrame:
     """Reviews with sentiment_score and sentiment_label."""
-    scored = sentiment_score(reviews, text, lexicon, key, replacement)
+    scored = sentiment_score(reviews, text, lexicon, replacement, max_inline=max_inline)
     return scored.withColumn("sentiment_label", sentiment_label())
 
 
