@@ -1,28 +1,36 @@
-"""Reliable checkpoints in the folder the cluster names."""
+"""Results kept in the folder the cluster names, their lineage cut."""
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="shelfmark-checkpoints-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.mkdtemp(prefix="shelfmark-checkpoints-")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the checkpoint folder, its lineage cut there.
+    """``df`` computed once into a Parquet table that later jobs read, by column.
 
-    For narrow frames that several later jobs read, or whose partitions must not
-    change between two jobs. A lost executor costs a re-read, not a recomputation.
+    A lost executor costs a re-read, not a recomputation.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/materialised-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def pin_partitions(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed: as ``materialise``, but every row stays in its partition, in order."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

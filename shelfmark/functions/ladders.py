@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from .text import quoted
 
 
 @dataclass(frozen=True)
@@ -21,17 +21,19 @@ class Ladder:
     def labels(self) -> list[str]:
         return [label for _, label in self.steps] + [self.top]
 
-    def _case(self, value: Column, results: list) -> Column:
-        out = F.when(value.isNull(), None)
-        for (bound, _), result in zip(self.steps, results):
-            out = out.when(value <= bound if self.inclusive else value < bound, result)
-        return out.otherwise(results[-1])
+    def _case(self, value: str, results: list[str]) -> str:
+        compare = "<=" if self.inclusive else "<"
+        steps = " ".join(f"WHEN {value} {compare} {bound!r}{'D' if isinstance(bound, float) else ''} THEN {result}"
+                         for (bound, _), result in zip(self.steps, results))
+        return f"CASE WHEN {value} IS NULL THEN NULL {steps} ELSE {results[-1]} END"
 
-    def ordinal(self, value: Column) -> Column:
-        return self._case(value, list(range(len(self.steps) + 1)))
+    def ordinal(self, value: str) -> str:
+        """SQL for the number of the step that the SQL expression ``value`` takes."""
+        return self._case(value, [str(i) for i in range(len(self.labels))])
 
-    def label(self, value: Column) -> Column:
-        return self._case(value, self.labels)
+    def label(self, value: str) -> str:
+        """SQL for the label of the step that ``value`` takes."""
+        return self._case(value, [quoted(label) for label in self.labels])
 
 
 # ---- fixed values: bucket labels and bounds of the standard reports ----

@@ -1,4 +1,4 @@
-"""Rounding and ratios with one rule everywhere."""
+"""Rounding and ratios with one rule everywhere, as columns and as SQL text."""
 
 from pyspark.sql import Column, functions as F
 
@@ -12,6 +12,10 @@ def rounded(value: Column, places: int = 2) -> Column:
     return F.round(value.cast("decimal(38,6)"), places).cast("double")
 
 
-def percent(part: Column, whole: Column, places: int = 2) -> Column:
+def rounded_sql(value: str, places: int = 2) -> str:
+    return f"double(round(cast({value} AS decimal(38,6)), {places}))"
+
+
+def percent_sql(part: str, whole: str, places: int = 2) -> str:
     """``part`` in percent of ``whole``; NULL when ``whole`` is 0."""
-    return rounded(F.try_divide(part * F.lit(100.0), whole), places)
+    return rounded_sql(f"try_divide(({part}) * 100.0D, {whole})", places)

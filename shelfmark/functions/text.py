@@ -1,4 +1,4 @@
-"""Text cleaning and keyword predicates, all JVM-side."""
+"""Text cleaning as columns, keyword predicates as SQL text; all JVM-side."""
 
 from collections.abc import Sequence
 
@@ -30,6 +30,11 @@ NOT_ALNUM = r"(?U)[^a-zA-Z0-9\s\x1C-\x1F]"
 BLANKS = r"(?U)[\s\x1C-\x1F]+"
 
 
+def quoted(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def letters_only(text: Column) -> Column:
     """Lower case, ASCII letters and blanks only; NULL stays NULL.
 
@@ -52,23 +57,22 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), BLANKS), lambda w: w != "")
 
 
-def mentions(lowered: Column, keyword: str, match: str = "substring") -> Column:
-    """Does already lower-cased text contain ``keyword``?
+def mentions(lowered: str, keyword: str, match: str = "substring") -> str:
+    """SQL: does already lower-cased text contain ``keyword``?
 
     ``substring`` also finds "war" in "award"; ``word`` wants word boundaries.
     """
     keyword = keyword.lower()
+    found = f"contains({lowered}, {quoted(keyword)})"
     if match == "substring":
-        return F.contains(lowered, F.lit(keyword))
+        return found
     if match == "word":
-        quoted = "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in keyword)
-        return lowered.rlike(rf"(?<![a-z0-9]){quoted}(?![a-z0-9])")
+        literal = "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in keyword)
+        # The plain search rules most texts out before the pattern is tried.
+        return f"({found} AND {lowered} RLIKE {quoted(f'(?<![a-z0-9]){literal}(?![a-z0-9])')})"
     raise ValueError(f"match must be 'substring' or 'word', not {match!r}")
 
 
-def keyword_total(lowered: Column, keywords: Sequence[str], match: str = "substring") -> Column:
-    """Number of distinct keywords that ``lowered`` contains."""
-    total = F.lit(0)
-    for keyword in keywords:
-        total = total + mentions(lowered, keyword, match).cast("int")
-    return total
+def keyword_total(lowered: str, keywords: Sequence[str], match: str = "substring") -> str:
+    """SQL: the number of keywords that ``lowered`` contains."""
+    return " + ".join(["0", *(f"int({mentions(lowered, keyword, match)})" for keyword in keywords)])

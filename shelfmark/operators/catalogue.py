@@ -5,12 +5,13 @@ Column names are parameters with the usual names as defaults.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import ladders
 from ..functions.text import KEYWORDS, keyword_total
 from . import reports as rp
-from .filters import has_items, has_text
+from .filters import has_items_sql, has_text_sql
+from .reports import name
 
 
 def missing_values() -> rp.Report:
@@ -18,62 +19,60 @@ def missing_values() -> rp.Report:
                       plain=["average_rating"])
 
 
-def _pages(column: str):
-    pages = F.col(column)
-    return F.when(pages > 0, pages)
+def _positive(column: str) -> str:
+    return f"CASE WHEN {name(column)} > 0 THEN {name(column)} END"
 
 
 def page_summary(column: str = "num_pages", accuracy: int = 10_000) -> rp.Report:
-    return rp.summary("page_stats", _pages(column), "pages", accuracy)
+    return rp.summary("page_stats", _positive(column), "pages", accuracy)
 
 
 def page_distribution(column: str = "num_pages", ladder=ladders.PAGES) -> rp.Report:
-    return rp.histogram("page_distribution", _pages(column), ladder, "page_category")
+    return rp.histogram("page_distribution", _positive(column), ladder, "page_category")
 
 
 def series_split(column: str = "series") -> rp.Report:
-    return rp.presence("series_split", has_items(column), "Books in Series", "Standalone Books")
+    return rp.presence("series_split", has_items_sql(name(column)), "Books in Series", "Standalone Books")
 
 
 def series_distribution(column: str = "series", ladder=ladders.SERIES) -> rp.Report:
-    return rp.histogram("series_count_distribution", F.size(column), ladder, "series_category",
+    return rp.histogram("series_count_distribution", f"size({name(column)})", ladder, "series_category",
                         share_of_all=True)
 
 
 def rating_summary(column: str = "average_rating") -> rp.Report:
-    return rp.moments("rating_stats", F.col(column), "rating")
+    return rp.moments("rating_stats", name(column), "rating")
 
 
 def rating_distribution(column: str = "average_rating", ladder=ladders.RATING) -> rp.Report:
-    return rp.histogram("rating_distribution", F.col(column), ladder, "rating_bucket")
+    return rp.histogram("rating_distribution", name(column), ladder, "rating_bucket")
 
 
 def engagement_summary(column: str = "ratings_count", accuracy: int = 10_000) -> rp.Report:
-    return rp.summary("engagement_stats", F.col(column), "ratings", accuracy)
+    return rp.summary("engagement_stats", name(column), "ratings", accuracy)
 
 
 def engagement_distribution(column: str = "ratings_count", ladder=ladders.ENGAGEMENT) -> rp.Report:
-    return rp.histogram("engagement_distribution", F.col(column), ladder, "engagement_level")
+    return rp.histogram("engagement_distribution", name(column), ladder, "engagement_level")
 
 
 def quality_vs_engagement(rating: str = "average_rating", count: str = "ratings_count",
                           quality=ladders.QUALITY, reach=ladders.REACH) -> rp.Report:
-    return rp.crosstab("quality_vs_engagement", F.col(rating), quality, "rating_quality",
-                       F.col(count), reach, "engagement_level")
+    return rp.crosstab("quality_vs_engagement", name(rating), quality, "rating_quality",
+                       name(count), reach, "engagement_level")
 
 
 def quality_matrix(rating: str = "average_rating", count: str = "ratings_count",
                    quality=ladders.QUALITY, reach=ladders.REACH) -> rp.Report:
-    return rp.crosstab_matrix("quality_matrix", F.col(rating), quality, "rating_quality",
-                              F.col(count), reach)
+    return rp.crosstab_matrix("quality_matrix", name(rating), quality, "rating_quality", name(count), reach)
 
 
 def shelves_split(column: str = "popular_shelves") -> rp.Report:
-    return rp.presence("shelves_split", has_items(column), "Books with Shelves", "Books without Shelves")
+    return rp.presence("shelves_split", has_items_sql(name(column)), "Books with Shelves", "Books without Shelves")
 
 
 def shelves_distribution(column: str = "popular_shelves", ladder=ladders.SHELVES) -> rp.Report:
-    return rp.histogram("shelves_count_distribution", F.size(column), ladder, "shelves_category",
+    return rp.histogram("shelves_count_distribution", f"size({name(column)})", ladder, "shelves_category",
                         share_of_all=True)
 
 
@@ -82,12 +81,12 @@ def average_shelves(column: str = "popular_shelves") -> rp.Report:
 
 
 def similar_split(column: str = "similar_books") -> rp.Report:
-    return rp.presence("similar_split", has_items(column),
+    return rp.presence("similar_split", has_items_sql(name(column)),
                        "Books with Similar Books", "Books without Similar Books")
 
 
 def similar_distribution(column: str = "similar_books", ladder=ladders.SIMILAR) -> rp.Report:
-    return rp.histogram("similar_books_distribution", F.size(column), ladder, "similar_category",
+    return rp.histogram("similar_books_distribution", f"size({name(column)})", ladder, "similar_category",
                         share_of_all=True)
 
 
@@ -97,9 +96,9 @@ def average_similar(column: str = "similar_books") -> rp.Report:
 
 def similar_vs_performance(similar: str = "similar_books", rating: str = "average_rating",
                            count: str = "ratings_count", ladder=ladders.SIMILAR_WIDE) -> rp.Report:
-    return rp.profile("similar_vs_performance", F.size(similar), ladder, "similar_category",
-                      {"avg_rating": F.col(rating), "avg_engagement": F.col(count),
-                       "avg_similar_count": F.size(similar)})
+    return rp.profile("similar_vs_performance", f"size({name(similar)})", ladder, "similar_category",
+                      {"avg_rating": name(rating), "avg_engagement": name(count),
+                       "avg_similar_count": f"size({name(similar)})"})
 
 
 def similar_trend(performance: DataFrame) -> DataFrame:
@@ -109,7 +108,7 @@ def similar_trend(performance: DataFrame) -> DataFrame:
 
 def _keyword_total(text: str, keywords: Sequence[str], match: str) -> tuple[dict, tuple]:
     """The lower-cased text as input, and as a layer on it the number of keywords found."""
-    return ({"text": F.when(has_text(text), F.lower(F.col(text)))},
+    return ({"text": f"CASE WHEN {has_text_sql(name(text))} THEN lower({name(text)}) END"},
             (lambda m: {"value": keyword_total(m("text"), keywords, match)},))
 
 

@@ -1,17 +1,22 @@
-"""K-Means groupings of a catalogue and an LDA topic model, on MLlib."""
+"""K-Means groupings of a catalogue and an LDA topic model, on MLlib.
+
+A fit reads its input many times, so texts are turned into vectors once, the
+vectors materialised, and every fit and prediction runs on those.
+"""
 
 import json
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, LDA
 from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, StandardScaler, StopWordsRemover,
                                 Tokenizer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from ..checkpoints import ensure_checkpoint_dir
+from ..checkpoints import materialise
 from ..functions.text import KEYWORDS, letters_only, mentions
+from ..sources.files import spread
 from .filters import has_text
 from .reports import label_counts
 
@@ -25,6 +30,16 @@ def cleaned_texts(df: DataFrame, key: str, title: str, text: str) -> DataFrame:
               .filter(has_text("description_clean")))
 
 
+def _apply(stages: Sequence, df: DataFrame) -> DataFrame:
+    for stage in stages:
+        df = stage.transform(df)
+    return df
+
+
+def _kmeans(vectors: DataFrame, k: int, seed: int):
+    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
+
+
 def keyword_clusters(df: DataFrame, keywords: Sequence[str] = KEYWORDS, k: int = 10, seed: int = SEED,
                      key: str = "book_id", title: str = "title", text: str = "description",
                      clean_keywords: bool = False) -> tuple[DataFrame, PipelineModel]:
@@ -35,13 +50,12 @@ def keyword_clusters(df: DataFrame, keywords: Sequence[str] = KEYWORDS, k: int =
     """
     probes = ["".join(c for c in w if c.isalpha() or c.isspace()) if clean_keywords else w for w in keywords]
     names = [f"kw_{i}" for i in range(len(probes))]
-    flags = cleaned_texts(df, key, title, text).select(
-        key, title, *[mentions(F.col("description_clean"), w).cast("int").alias(n)
-                      for n, w in zip(names, probes)])
-    stages = [VectorAssembler(inputCols=names, outputCol="features"),
-              KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")]
-    model = Pipeline(stages=stages).fit(flags)
-    return model.transform(flags).select(key, title, "cluster"), model
+    flags = cleaned_texts(df, key, title, text).selectExpr(
+        key, title, *[f"int({mentions('description_clean', w)}) AS {n}" for n, w in zip(names, probes)])
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
+    vectors = spread(materialise(assembler.transform(flags).select(key, title, "features")))
+    model = _kmeans(vectors, k, seed)
+    return model.transform(vectors).select(key, title, "cluster"), PipelineModel([assembler, model])
 
 
 def feature_clusters(df: DataFrame, columns: Sequence[str] = PROFILE, k: int = 10, seed: int = SEED,
@@ -51,38 +65,38 @@ def feature_clusters(df: DataFrame, columns: Sequence[str] = PROFILE, k: int = 1
     names = [renamed.get(c, c) for c in columns]
     numbers = (df.select(key, title, *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)])
                  .na.fill(0.0, subset=names))
-    stages = [VectorAssembler(inputCols=names, outputCol="features_raw"),
-              StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-              KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")]
-    model = Pipeline(stages=stages).fit(numbers)
+    assembler = VectorAssembler(inputCols=names, outputCol="features_raw")
+    raw = spread(materialise(assembler.transform(numbers)))
+    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True).fit(raw)
+    vectors = scaler.transform(raw)
+    model = _kmeans(vectors, k, seed)
     shown = [n for n in names if n != "reviews_count"]
-    return model.transform(numbers).select(key, title, *shown, "cluster"), model
+    return (model.transform(vectors).select(key, title, *shown, "cluster"),
+            PipelineModel([assembler, scaler, model]))
 
 
-def tfidf_stages(num_features: int = 1000, text: str = "description_clean") -> list:
+def _tokens(text: str = "description_clean") -> list:
     return [Tokenizer(inputCol=text, outputCol="words"),
-            StopWordsRemover(inputCol="words", outputCol="filtered_words"),
-            HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features),
-            IDF(inputCol="raw_features", outputCol="features")]
+            StopWordsRemover(inputCol="words", outputCol="filtered_words")]
 
 
 def tfidf_features(df: DataFrame, num_features: int = 1000, key: str = "book_id", title: str = "title",
                    text: str = "description") -> tuple[DataFrame, PipelineModel]:
     """Hashed term frequencies weighted by inverse document frequency."""
-    texts = cleaned_texts(df, key, title, text)
-    model = Pipeline(stages=tfidf_stages(num_features)).fit(texts)
-    return model.transform(texts).select(key, title, "features"), model
+    stages = [*_tokens(), HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features)]
+    counted = _apply(stages, cleaned_texts(df, key, title, text)).select(key, title, "raw_features")
+    counted = spread(materialise(counted))
+    idf = IDF(inputCol="raw_features", outputCol="features").fit(counted)
+    return idf.transform(counted).select(key, title, "features"), PipelineModel([*stages, idf])
 
 
 def text_clusters(df: DataFrame, k: int = 10, seed: int = SEED, num_features: int = 1000,
                   key: str = "book_id", title: str = "title",
                   text: str = "description") -> tuple[DataFrame, PipelineModel]:
     """Records grouped by the TF-IDF vector of their text."""
-    texts = cleaned_texts(df, key, title, text)
-    stages = [*tfidf_stages(num_features),
-              KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")]
-    model = Pipeline(stages=stages).fit(texts)
-    return model.transform(texts).select(key, title, "cluster"), model
+    vectors, weighting = tfidf_features(df, num_features, key, title, text)
+    model = _kmeans(vectors, k, seed)
+    return model.transform(vectors).select(key, title, "cluster"), PipelineModel([*weighting.stages, model])
 
 
 def cluster_sizes(clustered: DataFrame) -> DataFrame:
@@ -98,24 +112,19 @@ def lda_topics(df: DataFrame, k: int = 8, terms: int = 10, max_iter: int = 10, v
     vocabulary-by-topic matrix; ``vocabulary`` bounds both that and the term list
     on the driver.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    texts = cleaned_texts(df, key, title, text)
-    stages = [Tokenizer(inputCol="description_clean", outputCol="words"),
-              StopWordsRemover(inputCol="words", outputCol="filtered_words"),
-              CountVectorizer(inputCol="filtered_words", outputCol="features",
-                              vocabSize=vocabulary, minDF=min_docs),
-              LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="features",
-                  topicDistributionCol="topic_weights")]
-    model = Pipeline(stages=stages).fit(texts)
-    vectoriser, lda = model.stages[-2], model.stages[-1]
-    weights = vector_to_array("topic_weights")
-    assigned = (model.transform(texts)
-                     .withColumn("_w", weights)
-                     .select(key, title,
-                             (F.array_position("_w", F.array_max("_w")) - 1).cast("int").alias("topic"),
-                             F.array_max("_w").alias("weight")))
-    described = lda.describeTopics(terms)
+    stages = _tokens()
+    tokens = _apply(stages, cleaned_texts(df, key, title, text)).select(key, title, "filtered_words")
+    vectoriser = CountVectorizer(inputCol="filtered_words", outputCol="features",
+                                 vocabSize=vocabulary, minDF=min_docs).fit(tokens)
+    vectors = spread(materialise(vectoriser.transform(tokens).select(key, title, "features")))
+    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", featuresCol="features",
+              topicDistributionCol="topic_weights").fit(vectors)
+
+    weights = lda.transform(vectors).select(key, title, vector_to_array("topic_weights").alias("_w"))
+    assigned = weights.select(key, title,
+                              (F.array_position("_w", F.array_max("_w")) - 1).cast("int").alias("topic"),
+                              F.array_max("_w").alias("weight"))
     names = F.from_json(F.lit(json.dumps(vectoriser.vocabulary)), "array<string>")
-    topics = described.select("topic", F.transform("termIndices", lambda i: F.get(names, i)).alias("terms"),
-                              "termWeights")
-    return assigned, topics, model
+    topics = lda.describeTopics(terms).select(
+        "topic", F.transform("termIndices", lambda i: F.get(names, i)).alias("terms"), "termWeights")
+    return assigned, topics, PipelineModel([*stages, vectoriser, lda])

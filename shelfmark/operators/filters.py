@@ -15,6 +15,14 @@ def has_text(text: str | Column) -> Column:
     return column.isNotNull() & (column != "")
 
 
+def has_items_sql(array: str) -> str:
+    return f"coalesce(size({array}) > 0, false)"
+
+
+def has_text_sql(text: str) -> str:
+    return f"({text} IS NOT NULL AND {text} <> '')"
+
+
 def positive(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) > 0)
 

@@ -4,30 +4,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numbers import percent
-from ..functions.text import KEYWORDS, mentions
-from . import reports as rp
-from .filters import has_text
+from ..functions.numbers import percent_sql
+from ..functions.text import KEYWORDS, mentions, quoted
+from .filters import has_text, has_text_sql
+from .reports import Report, name
 
 
 def keyword_report(text: str = "description", keywords: Sequence[str] = KEYWORDS,
-                   match: str = "substring") -> rp.Report:
+                   match: str = "substring") -> Report:
     """Per keyword, the number and percentage of non-empty texts containing it.
 
     A keyword that never occurs has a zero row. Without any text the percentage is 0.
     """
     def measures(m):
-        out = {f"k{i}": F.count_if(mentions(m("text"), k, match)) for i, k in enumerate(keywords)}
-        out["total"] = F.count(m("text"))
-        return out
+        counts = {f"k{i}": f"count_if({mentions(m('text'), k, match)})" for i, k in enumerate(keywords)}
+        return {**counts, "total": f"count({m('text')})"}
 
     def rows(m):
-        return [F.struct(F.lit(k).alias("keyword"), m(f"k{i}").alias("book_count"),
-                         F.coalesce(percent(m(f"k{i}"), m("total")), F.lit(0.0)).alias("percentage"))
+        return [{"keyword": quoted(k), "book_count": m(f"k{i}"),
+                 "percentage": f"coalesce({percent_sql(m(f'k{i}'), m('total'))}, 0.0D)"}
                 for i, k in enumerate(keywords)]
 
-    return rp.Report("keyword_frequency", {"text": F.when(has_text(text), F.lower(F.col(text)))},
-                     measures, rows)
+    lowered = f"CASE WHEN {has_text_sql(name(text))} THEN lower({name(text)}) END"
+    return Report("keyword_frequency", {"text": lowered}, measures, rows)
 
 
 def rank_keywords(counts: DataFrame, k: int | None = None, least: bool = False) -> DataFrame:
@@ -44,17 +43,14 @@ def keyword_frequency(df: DataFrame, text: str = "description", keywords: Sequen
 
 def term_weights(counts: DataFrame) -> DataFrame:
     """The frequency table as (term, weight), the input of a word cloud."""
-    return counts.select(F.col("keyword").alias("term"), F.col("book_count").alias("weight"))
+    return counts.selectExpr("keyword AS term", "book_count AS weight")
 
 
 def keyword_flags(df: DataFrame, key: str = "book_id", text: str = "description",
                   keywords: Sequence[str] = KEYWORDS, match: str = "substring") -> DataFrame:
     """A ``has_<keyword>`` 0/1 column per keyword and ``total_keywords``, per non-empty text."""
-    lowered = (df.filter(has_text(text))
-                 .select(key, F.lower(F.col(text)).alias("_text")))
-    flags = lowered.select(key, *[mentions(F.col("_text"), k, match).cast("int").alias(f"has_{k}")
-                                  for k in keywords])
-    total = F.lit(0)
-    for k in keywords:
-        total = total + F.col(f"`has_{k}`")
-    return flags.withColumn("total_keywords", total)
+    names = [name(f"has_{k}") for k in keywords]
+    return (df.filter(has_text(text))
+              .selectExpr(name(key), f"lower({name(text)}) AS _text")
+              .selectExpr(name(key), *[f"int({mentions('_text', k, match)}) AS {n}" for k, n in zip(keywords, names)])
+              .selectExpr("*", f"{' + '.join(['0', *names])} AS total_keywords"))

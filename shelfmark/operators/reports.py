@@ -5,19 +5,29 @@ rows of its result. Any number of reports can share one scan: ``measure`` builds
 a single one-row aggregate for all of them and each report reads its own part.
 Nothing is shuffled but one partial row per task, so no key can be hot, and the
 rows come out in their declared order without a sort.
+
+Expressions are SQL text, so a report of hundreds of expressions reaches Spark in
+a handful of calls.
 """
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.ladders import Ladder
-from ..functions.numbers import percent, rounded
-from .filters import has_items, has_text
+from ..functions.numbers import percent_sql, rounded_sql
+from ..functions.text import quoted
+from .filters import has_items_sql, has_text_sql
+
+Named = Callable[[str], str]
+Layer = Callable[[Named], dict[str, str]]
+Row = dict[str, str]
 
-Named = Callable[[str], Column]
-Layer = Callable[[Named], dict[str, Column]]
+
+def name(identifier: str) -> str:
+    """A column name in SQL."""
+    return "`" + identifier.replace("`", "``") + "`"
 
 
 @dataclass(frozen=True)
@@ -28,256 +38,235 @@ class Report:
     keyword count) from being worked out more than once per row.
     """
 
-    name: str
-    inputs: dict[str, Column]
+    title: str
+    inputs: dict[str, str]
     measures: Layer
-    rows: Callable[[Named], list[Column]]
+    rows: Callable[[Named], list[Row]]
     layers: tuple[Layer, ...] = ()
     drop_if_zero: str | None = None
     label: str | None = None
-    sketch: bool = False
 
-    def named(self, key: str) -> Column:
-        return F.col(f"{self.name}__{key}")
+    def named(self, key: str) -> str:
+        return name(f"{self.title}__{key}")
 
-    def _aliased(self, columns: dict[str, Column]) -> list[Column]:
-        return [c.alias(f"{self.name}__{k}") for k, c in columns.items()]
+    def _aliased(self, expressions: dict[str, str]) -> list[str]:
+        return [f"{sql} AS {self.named(key)}" for key, sql in expressions.items()]
 
-    def projections(self, depth: int) -> list[list[Column]]:
+    def projections(self, depth: int) -> list[list[str]]:
         """The select lists from the rows to the aggregate's inputs, ``depth`` + 1 of them."""
-        steps, names = [self._aliased(self.inputs)], list(self.inputs)
+        steps, keys = [self._aliased(self.inputs)], list(self.inputs)
         for layer in self.layers:
-            columns = layer(self.named)
-            steps.append(self._aliased(columns))
-            names = list(columns)
+            expressions = layer(self.named)
+            steps.append(self._aliased(expressions))
+            keys = list(expressions)
         while len(steps) <= depth:
-            steps.append([self.named(k) for k in names])
+            steps.append([self.named(key) for key in keys])
         return steps
 
-    def aggregates(self) -> list[Column]:
+    def aggregates(self) -> list[str]:
         return self._aliased(self.measures(self.named))
 
     def read(self, measured: DataFrame) -> DataFrame:
         """The report's rows, from a frame made by ``measure``."""
-        out = measured.select(F.inline(F.array(*self.rows(self.named))))
-        return out.filter(F.col(self.drop_if_zero) > 0) if self.drop_if_zero else out
+        out = measured.selectExpr(_inline(self.rows(self.named)))
+        return out.filter(f"{name(self.drop_if_zero)} > 0") if self.drop_if_zero else out
 
     def of(self, df: DataFrame) -> DataFrame:
         return self.read(measure(df, [self]))
 
 
+def _inline(rows: Sequence[Row]) -> str:
+    structs = ("struct(" + ", ".join(f"{sql} AS {name(key)}" for key, sql in row.items()) + ")" for row in rows)
+    return f"inline(array({', '.join(structs)}))"
+
+
 def measure(df: DataFrame, reports: Sequence[Report]) -> DataFrame:
     """One row with the measures of all ``reports``, from one scan of ``df``."""
     depth = max(len(r.layers) for r in reports)
     for step in zip(*(r.projections(depth) for r in reports)):
-        df = df.select(*[column for columns in step for column in columns])
-    return df.agg(*[c for r in reports for c in r.aggregates()])
-
-
-def _rows_where(condition: Column) -> Column:
-    return F.count_if(condition)
+        df = df.selectExpr(*[sql for expressions in step for sql in expressions])
+    return df.selectExpr(*[sql for r in reports for sql in r.aggregates()])
 
 
 # --------------------------------------------------------------- histograms
 
-def histogram(name: str, value: Column, ladder: Ladder, label: str, count: str = "book_count",
+def histogram(title: str, value: str, ladder: Ladder, label: str, count: str = "book_count",
               share_of_all: bool = False) -> Report:
     """Rows per bucket of ``value`` and their percentage, empty buckets left out.
 
     The percentage is taken of the rows with a value, or of all rows when
     ``share_of_all`` (rows without a value then count in the denominator only).
     """
-    return histogram_of(name, {"value": value}, (), ladder, label, count, share_of_all)
+    return histogram_of(title, {"value": value}, (), ladder, label, count, share_of_all)
 
 
-def histogram_of(name: str, inputs: dict[str, Column], layers: Sequence[Layer], ladder: Ladder,
+def histogram_of(title: str, inputs: dict[str, str], layers: Sequence[Layer], ladder: Ladder,
                  label: str, count: str = "book_count", share_of_all: bool = False) -> Report:
     """A histogram of ``value``, which ``inputs`` or the last of ``layers`` provides."""
-    labels = ladder.labels
+    def place(m):
+        return {"bucket": ladder.ordinal(m("value"))}
 
     def measures(m):
-        out = {f"n{i}": _rows_where(m("bucket") == i) for i in range(len(labels))}
-        out["total"] = F.count(F.lit(1)) if share_of_all else F.count(m("bucket"))
-        return out
+        counts = {f"n{i}": f"count_if({m('bucket')} = {i})" for i in range(len(ladder.labels))}
+        return {**counts, "total": "count(1)" if share_of_all else f"count({m('bucket')})"}
 
     def rows(m):
-        return [F.struct(F.lit(text).alias(label), m(f"n{i}").alias(count),
-                         percent(m(f"n{i}"), m("total")).alias("percentage"))
-                for i, text in enumerate(labels)]
+        return [{label: quoted(text), count: m(f"n{i}"), "percentage": percent_sql(m(f"n{i}"), m("total"))}
+                for i, text in enumerate(ladder.labels)]
 
-    place = lambda m: {"bucket": ladder.ordinal(m("value"))}
-    return Report(name, inputs, measures, rows, (*layers, place), drop_if_zero=count, label=label)
+    return Report(title, inputs, measures, rows, (*layers, place), drop_if_zero=count, label=label)
 
 
 def histograms_together(df: DataFrame, histograms: Sequence[Report]) -> DataFrame:
     """All ``histograms`` in one scan, as rows (report, bucket, book_count, percentage)."""
-    def uniform(report: Report, row: Column) -> Column:
-        return F.struct(F.lit(report.name).alias("report"), row[report.label].alias("bucket"),
-                        row[report.drop_if_zero].alias("book_count"), row["percentage"].alias("percentage"))
+    rows = [{"report": quoted(r.title), "bucket": row[r.label], "book_count": row[r.drop_if_zero],
+             "percentage": row["percentage"]} for r in histograms for row in r.rows(r.named)]
+    return measure(df, histograms).selectExpr(_inline(rows)).filter("book_count > 0")
 
-    rows = [uniform(r, row) for r in histograms for row in r.rows(r.named)]
-    return measure(df, histograms).select(F.inline(F.array(*rows))).filter(F.col("book_count") > 0)
 
+def _cells(row_ladder: Ladder, col_ladder: Ladder) -> tuple[Layer, Layer]:
+    """The layer that places a row, and the counts of all pairs of places."""
+    def place(m):
+        return {"row": row_ladder.ordinal(m("row")), "col": col_ladder.ordinal(m("col"))}
 
-def _places(row_ladder: Ladder, col_ladder: Ladder) -> Layer:
-    return lambda m: {"row": row_ladder.ordinal(m("row")), "col": col_ladder.ordinal(m("col"))}
+    def measures(m):
+        return {f"n{i}_{j}": f"count_if({m('row')} = {i} AND {m('col')} = {j})"
+                for i in range(len(row_ladder.labels)) for j in range(len(col_ladder.labels))}
 
+    return place, measures
 
-def crosstab(name: str, row_value: Column, row_ladder: Ladder, row_label: str,
-             col_value: Column, col_ladder: Ladder, col_label: str,
-             count: str = "book_count") -> Report:
-    """Rows per pair of buckets, ordered by the two labels, empty pairs left out."""
-    cells = sorted((r, c, i, j) for i, r in enumerate(row_ladder.labels)
-                   for j, c in enumerate(col_ladder.labels))
 
-    def measures(m):
-        return {f"n{i}_{j}": _rows_where((m("row") == i) & (m("col") == j))
-                for _, _, i, j in cells}
+def crosstab(title: str, row_value: str, row_ladder: Ladder, row_label: str, col_value: str,
+             col_ladder: Ladder, col_label: str, count: str = "book_count") -> Report:
+    """Rows per pair of buckets, ordered by the two labels, empty pairs left out."""
+    place, measures = _cells(row_ladder, col_ladder)
+    ordered = sorted((r, c, f"n{i}_{j}") for i, r in enumerate(row_ladder.labels)
+                     for j, c in enumerate(col_ladder.labels))
 
     def rows(m):
-        return [F.struct(F.lit(r).alias(row_label), F.lit(c).alias(col_label),
-                         m(f"n{i}_{j}").alias(count)) for r, c, i, j in cells]
+        return [{row_label: quoted(r), col_label: quoted(c), count: m(cell)} for r, c, cell in ordered]
 
-    return Report(name, {"row": row_value, "col": col_value}, measures, rows,
-                  (_places(row_ladder, col_ladder),), drop_if_zero=count)
+    return Report(title, {"row": row_value, "col": col_value}, measures, rows, (place,), drop_if_zero=count)
 
 
-def crosstab_matrix(name: str, row_value: Column, row_ladder: Ladder, row_label: str,
-                    col_value: Column, col_ladder: Ladder) -> Report:
+def crosstab_matrix(title: str, row_value: str, row_ladder: Ladder, row_label: str, col_value: str,
+                    col_ladder: Ladder) -> Report:
     """The dense form: one row per row bucket, one zero-filled column per column bucket."""
-    def measures(m):
-        return {f"n{i}_{j}": _rows_where((m("row") == i) & (m("col") == j))
-                for i in range(len(row_ladder.labels)) for j in range(len(col_ladder.labels))}
+    place, measures = _cells(row_ladder, col_ladder)
 
     def rows(m):
-        return [F.struct(F.lit(r).alias(row_label),
-                         *[m(f"n{i}_{j}").alias(c) for j, c in enumerate(col_ladder.labels)])
+        return [{row_label: quoted(r), **{c: m(f"n{i}_{j}") for j, c in enumerate(col_ladder.labels)}}
                 for i, r in enumerate(row_ladder.labels)]
 
-    return Report(name, {"row": row_value, "col": col_value}, measures, rows,
-                  (_places(row_ladder, col_ladder),))
+    return Report(title, {"row": row_value, "col": col_value}, measures, rows, (place,))
 
 
-def profile(name: str, value: Column, ladder: Ladder, label: str, averages: dict[str, Column],
+def profile(title: str, value: str, ladder: Ladder, label: str, averages: dict[str, str],
             count: str = "book_count") -> Report:
     """Rows per bucket with rounded averages; only rows where every input is known."""
     def place(m):
-        known = m("value").isNotNull()
-        for a in averages:
-            known = known & m(a).isNotNull()
-        return {"bucket": F.when(known, ladder.ordinal(m("value"))), **{a: m(a) for a in averages}}
+        known = " AND ".join(f"{m(key)} IS NOT NULL" for key in ("value", *averages))
+        return {"bucket": f"CASE WHEN {known} THEN {ladder.ordinal(m('value'))} END",
+                **{a: m(a) for a in averages}}
 
     def measures(m):
         out = {}
         for i in range(len(ladder.labels)):
-            here = m("bucket") == i
-            out[f"n{i}"] = _rows_where(here)
-            for a in averages:
-                out[f"{a}{i}"] = F.avg(F.when(here, m(a)))
+            here = f"{m('bucket')} = {i}"
+            out[f"n{i}"] = f"count_if({here})"
+            out |= {f"{a}{i}": f"avg(CASE WHEN {here} THEN {m(a)} END)" for a in averages}
         return out
 
     def rows(m):
-        return [F.struct(F.lit(text).alias(label), m(f"n{i}").alias(count),
-                         *[rounded(m(f"{a}{i}")).alias(a) for a in averages])
+        return [{label: quoted(text), count: m(f"n{i}"), **{a: rounded_sql(m(f"{a}{i}")) for a in averages}}
                 for i, text in enumerate(ladder.labels)]
 
-    return Report(name, {"value": value, **averages}, measures, rows, (place,), drop_if_zero=count)
+    return Report(title, {"value": value, **averages}, measures, rows, (place,), drop_if_zero=count)
 
 
 # ---------------------------------------------------------------- summaries
 
-def moments(name: str, value: Column, suffix: str) -> Report:
-    """Mean and sample standard deviation (two decimals), minimum and maximum."""
-    def measures(m):
-        return {"mean": F.avg(m("v")), "std": F.stddev_samp(m("v")),
-                "min": F.min(m("v")), "max": F.max(m("v"))}
+def _moment_measures(m: Named) -> dict[str, str]:
+    v = m("v")
+    return {"mean": f"avg({v})", "std": f"stddev_samp({v})", "min": f"min({v})", "max": f"max({v})"}
 
-    def rows(m):
-        return [F.struct(rounded(m("mean")).alias(f"mean_{suffix}"),
-                         rounded(m("std")).alias(f"std_{suffix}"),
-                         m("min").alias(f"min_{suffix}"), m("max").alias(f"max_{suffix}"))]
 
-    return Report(name, {"v": value}, measures, rows)
+def _moment_columns(m: Named, suffix: str) -> Row:
+    return {f"mean_{suffix}": rounded_sql(m("mean")), f"std_{suffix}": rounded_sql(m("std")),
+            f"min_{suffix}": m("min"), f"max_{suffix}": m("max")}
+
+
+def moments(title: str, value: str, suffix: str) -> Report:
+    """Mean and sample standard deviation (two decimals), minimum and maximum."""
+    return Report(title, {"v": value}, _moment_measures, lambda m: [_moment_columns(m, suffix)])
 
 
-def summary(name: str, value: Column, suffix: str, accuracy: int = 10_000) -> Report:
+def summary(title: str, value: str, suffix: str, accuracy: int = 10_000) -> Report:
     """The four moments, the three quartiles, and how far the mean lies above the median.
 
     The quartiles come from a mergeable sketch whose rank error is 1/accuracy of
     the rows, so the state per task stays bounded.
     """
-    base = moments(name, value, suffix)
-
     def measures(m):
-        return {**base.measures(m),
-                "q": F.percentile_approx(m("v"), [0.25, 0.5, 0.75], accuracy)}
+        return {**_moment_measures(m), "q": f"percentile_approx({m('v')}, array(0.25, 0.5, 0.75), {accuracy})"}
 
     def rows(m):
-        quartiles = [m("q")[i].alias(f"{label}_{suffix}") for i, label in enumerate(("q1", "median", "q3"))]
-        gap = rounded(rounded(m("mean")) - m("q")[1]).alias("mean_median_gap")
-        return [F.struct(rounded(m("mean")).alias(f"mean_{suffix}"),
-                         rounded(m("std")).alias(f"std_{suffix}"),
-                         m("min").alias(f"min_{suffix}"), m("max").alias(f"max_{suffix}"),
-                         *quartiles, gap)]
+        quartiles = {f"{label}_{suffix}": f"{m('q')}[{i}]" for i, label in enumerate(("q1", "median", "q3"))}
+        gap = rounded_sql(f"{rounded_sql(m('mean'))} - {m('q')}[1]")
+        return [{**_moment_columns(m, suffix), **quartiles, "mean_median_gap": gap}]
 
-    return Report(name, {"v": value}, measures, rows, sketch=True)
+    return Report(title, {"v": value}, measures, rows)
 
 
-def approx_quantiles(name: str, value: Column, points: Sequence[float], accuracy: int = 10_000) -> Report:
+def approx_quantiles(title: str, value: str, points: Sequence[float], accuracy: int = 10_000) -> Report:
     """One row per point: the value below which that share of the rows lies."""
-    def measures(m):
-        return {"q": F.percentile_approx(m("v"), list(points), accuracy)}
-
-    def rows(m):
-        return [F.struct(F.lit(float(p)).alias("quantile"), m("q")[i].alias("value"))
-                for i, p in enumerate(points)]
-
-    return Report(name, {"v": value}, measures, rows, sketch=True)
+    shares = ", ".join(f"{p}D" for p in points)
+    return Report(title, {"v": value},
+                  lambda m: {"q": f"percentile_approx({m('v')}, array({shares}), {accuracy})"},
+                  lambda m: [{"quantile": f"{p}D", "value": f"{m('q')}[{i}]"} for i, p in enumerate(points)])
 
 
-def missing(name: str, text: Sequence[str] = (), arrays: Sequence[str] = (),
+def missing(title: str, text: Sequence[str] = (), arrays: Sequence[str] = (),
             plain: Sequence[str] = ()) -> Report:
     """Missing values per column: NULL or '' for text, NULL or empty for arrays, else NULL."""
-    absent = {c: ~has_text(c) for c in text}
-    absent |= {c: ~has_items(c) for c in arrays}
-    absent |= {c: F.col(c).isNull() for c in plain}
+    absent = {c: f"NOT {has_text_sql(name(c))}" for c in text}
+    absent |= {c: f"NOT {has_items_sql(name(c))}" for c in arrays}
+    absent |= {c: f"{name(c)} IS NULL" for c in plain}
 
     def measures(m):
-        return {**{c: _rows_where(m(c)) for c in absent}, "total": F.count(F.lit(1))}
+        return {**{c: f"count_if({m(c)})" for c in absent}, "all": "count(1)"}
 
     def rows(m):
-        return [F.struct(F.lit(c).alias("column"), m(c).alias("missing"),
-                         percent(m(c), m("total")).alias("percentage")) for c in absent]
+        return [{"column": quoted(c), "missing": m(c), "percentage": percent_sql(m(c), m("all"))} for c in absent]
 
-    return Report(name, absent, measures, rows)
+    return Report(title, absent, measures, rows)
 
 
-def presence(name: str, present: Column, with_label: str, without_label: str) -> Report:
+def presence(title: str, present: str, with_label: str, without_label: str) -> Report:
     """Two rows: how many records have the thing and how many have not."""
     def measures(m):
-        return {"yes": _rows_where(m("has")), "total": F.count(F.lit(1))}
+        return {"yes": f"count_if({m('has')})", "total": "count(1)"}
 
     def rows(m):
-        return [F.struct(F.lit(text).alias("group"), n.alias("book_count"),
-                         percent(n, m("total")).alias("percentage"))
-                for text, n in ((with_label, m("yes")), (without_label, m("total") - m("yes")))]
+        return [{"group": quoted(text), "book_count": n, "percentage": percent_sql(n, m("total"))}
+                for text, n in ((with_label, m("yes")), (without_label, f"{m('total')} - {m('yes')}"))]
 
-    return Report(name, {"has": present}, measures, rows)
+    return Report(title, {"has": present}, measures, rows)
 
 
-def average(name: str, value: Column, label: str) -> Report:
+def average(title: str, value: str, label: str) -> Report:
     """The rounded mean of ``value`` over the rows where it is known."""
-    return average_of(name, {"value": value}, (), label)
+    return average_of(title, {"value": value}, (), label)
 
 
-def average_of(name: str, inputs: dict[str, Column], layers: Sequence[Layer], label: str) -> Report:
-    return Report(name, inputs, lambda m: {"avg": F.avg(m("value"))},
-                  lambda m: [F.struct(rounded(m("avg")).alias(label))], tuple(layers))
+def average_of(title: str, inputs: dict[str, str], layers: Sequence[Layer], label: str) -> Report:
+    return Report(title, inputs, lambda m: {"avg": f"avg({m('value')})"},
+                  lambda m: [{label: rounded_sql(m("avg"))}], tuple(layers))
 
 
-def average_size(name: str, array: str, label: str) -> Report:
+def average_size(title: str, array: str, label: str) -> Report:
     """The mean length of the non-empty arrays."""
-    return average(name, F.when(has_items(array), F.size(array)), label)
+    return average(title, f"CASE WHEN {has_items_sql(name(array))} THEN size({name(array)}) END", label)
 
 
 # ------------------------------------------------------ aggregates with a key
@@ -285,8 +274,7 @@ def average_size(name: str, array: str, label: str) -> Report:
 def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
     """Row count and number of distinct keys, a NULL key counting as one value."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-              .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-                   F.count(F.lit(1)).alias("distinct_keys")))
+              .selectExpr("coalesce(sum(n), 0) AS total_rows", "count(1) AS distinct_keys"))
 
 
 def label_counts(df: DataFrame, label: str, count: str = "count") -> DataFrame:
@@ -296,5 +284,4 @@ def label_counts(df: DataFrame, label: str, count: str = "count") -> DataFrame:
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line through the points of ``df``: ``y = slope * x + intercept``."""
-    return df.agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
-                  F.regr_intercept(F.col(y), F.col(x)).alias("intercept"))
+    return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))

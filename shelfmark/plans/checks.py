@@ -167,7 +167,7 @@ def rating_summary(spark, sf):
     f"SELECT CAST({p} AS DOUBLE) AS quantile, quantile_disc(num_pages, {p}) AS value FROM books"
     for p in (0.1, 0.5, 0.9)))
 def approx_quantiles(spark, sf):
-    return rp.approx_quantiles("q", F.col("num_pages"), (0.1, 0.5, 0.9)).of(tb.catalogue(spark, sf))
+    return rp.approx_quantiles("q", "num_pages", (0.1, 0.5, 0.9)).of(tb.catalogue(spark, sf))
 
 
 # ------------------------------------------------------------- distributions
@@ -453,8 +453,9 @@ SQL_LETTERS = r"lower(regexp_replace(text, '[^a-zA-Z\t-\r ]', '', 'g'))"
 
 @query(f"SELECT doc_id, {SQL_ALNUM} AS alnum, {SQL_LETTERS} AS letters FROM documents")
 def clean_text(spark, sf):
-    return tb.table(spark, sf, "documents").select(
-        "doc_id", alnum_only(F.col("text")).alias("alnum"), letters_only(F.col("text")).alias("letters"))
+    text = F.col("description")
+    return tb.texts(spark, sf, costly=True).select(
+        F.col("book_id").alias("doc_id"), alnum_only(text).alias("alnum"), letters_only(text).alias("letters"))
 
 
 # Polarities that add up without rounding, so that every engine finds the same mean.
@@ -474,7 +475,7 @@ INSIGHTS = f"""{SCORED}, insights AS (
 
 def _scored(spark, sf, **options):
     lexicon = files.literal_rows(spark, POLARITIES, LEXICON)
-    return sn.score_reviews(tb.text_reviews(spark, sf), lexicon, **options)
+    return sn.score_reviews(tb.text_reviews(spark, sf, costly=True), lexicon, **options)
 
 
 def _insights(spark, sf):
@@ -538,8 +539,9 @@ items AS (SELECT book_id, CAST(row_number() OVER (ORDER BY count(*) DESC, book_i
 
 
 def _indexed(spark, sf) -> DataFrame:
-    kept = materialise(rt.support_filter(materialise(_deduped(spark, sf))))
-    return rt.index_ids(kept)
+    deduped = materialise(_deduped(spark, sf))
+    hot = rt.hot_ids(deduped)
+    return rt.index_ids(materialise(rt.support_filter(deduped, hot=hot)), hot=hot)
 
 
 @query(f"""WITH {INDEXED} SELECT user_id, user_idx, book_id, book_idx, rating
@@ -574,7 +576,7 @@ def als_recommendations(spark, sf):
 
 @query()
 def keyword_clusters(spark, sf):
-    return clustering.keyword_clusters(tb.texts(spark, sf), keywords=TERMS)[0]
+    return clustering.keyword_clusters(tb.texts(spark, sf, costly=True), keywords=TERMS)[0]
 
 
 @query()
@@ -584,7 +586,7 @@ def feature_clusters(spark, sf):
 
 @query()
 def text_clusters(spark, sf):
-    return clustering.text_clusters(tb.texts(spark, sf), k=8)[0]
+    return clustering.text_clusters(tb.texts(spark, sf, costly=True), k=8)[0]
 
 
 @query()
@@ -594,12 +596,12 @@ def cluster_sizes(spark, sf):
 
 @query()
 def tfidf_features(spark, sf):
-    return clustering.tfidf_features(tb.texts(spark, sf))[0].select("book_id", "title", F.col("features").cast("string"))
+    return clustering.tfidf_features(tb.texts(spark, sf, costly=True))[0].select("book_id", "title", F.col("features").cast("string"))
 
 
 @query()
 def lda_topics(spark, sf):
-    return clustering.lda_topics(tb.texts(spark, sf))[0]
+    return clustering.lda_topics(tb.texts(spark, sf, costly=True))[0]
 
 
 # ------------------------------------------------------------ files and index

@@ -15,8 +15,9 @@ def run(spark: SparkSession, source: str, out: str, k: int = 10, blocks: int | N
     Each shrinking step is materialised once, as the next one reads it several times.
     """
     deduped = materialise(rt.dedupe_ratings(files.read_parquet(spark, source)))
-    kept = materialise(rt.support_filter(deduped, min_user=min_user, min_item=min_item))
-    indexed = materialise(rt.index_ids(kept))
+    hot = rt.hot_ids(deduped)
+    kept = materialise(rt.support_filter(deduped, min_user=min_user, min_item=min_item, hot=hot))
+    indexed = materialise(rt.index_ids(kept, hot=hot))
     train, test = rt.split(indexed)
 
     model = rec.fit_als(train, rank=rank, reg_param=reg_param, max_iter=max_iter, blocks=blocks)

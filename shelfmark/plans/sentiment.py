@@ -22,7 +22,7 @@ def run(spark: SparkSession, source: str, lexicon: DataFrame, out: str,
     The scored reviews are written first and read back, so the texts are scored
     once although four results use the scores.
     """
-    reviews = files.read_parquet(spark, source)
+    reviews = files.spread(files.read_parquet(spark, source))
     scored = sn.score_reviews(reviews, lexicon)
     files.write_parquet(scored, f"{out}/scored/parquet")
     scored = files.read_parquet(spark, f"{out}/scored/parquet")

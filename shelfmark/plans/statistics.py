@@ -39,7 +39,7 @@ def run(spark: SparkSession, source: str, out: str, keywords: Sequence[str] = KE
     reports: dict[str, DataFrame] = {"dataset_counts": materialise(rp.key_uniqueness(books, "book_id"))}
     for group in (profile_reports(), text_reports(keywords), quartile_reports()):
         measured = materialise(rp.measure(books, group))
-        reports |= {report.name: report.read(measured) for report in group}
+        reports |= {report.title: report.read(measured) for report in group}
 
     frequency = reports["keyword_frequency"]
     reports |= {

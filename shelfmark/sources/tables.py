@@ -7,15 +7,15 @@ documents the texts. Each view reads only the tables and columns it needs.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import hot_keys, skew_join
+from .files import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def rating_of(quantity: str = "l_quantity"):
-    """0 (no rating) to 5 from a quantity of 1 to 50."""
-    return F.floor(F.col(quantity) / 10).cast("int")
+# SQL for 0 (no rating) to 5 from a quantity of 1 to 50.
+RATING = "int(floor(l_quantity / 10))"
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,22 +25,17 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     others are similar to the first part of their block of 100 and to up to 49
     parts that follow them in the catalogue.
     """
-    part = table(spark, folder, "part")
-    number = F.col("p_partkey")
-    first_of_block = F.array(number - number % 100)
-    following = F.slice(F.sequence(number, number + F.col("p_size") - 1), F.lit(2), F.col("p_size"))
-    return part.select(
-        number.alias("book_id"),
-        F.col("p_name").alias("title"),
-        F.array(F.struct(F.col("p_brand").alias("author_id"), F.lit("Author").alias("role"))).alias("authors"),
-        F.concat_ws(" ", "p_brand", "p_type").alias("description"),
-        ((F.col("p_size") - 1) * 20).alias("num_pages"),
-        F.when(F.col("p_type") != "PROMO",
-               F.slice(F.split(F.repeat(F.concat("p_brand", F.lit(",")), 5), ","), F.lit(1), F.col("p_size") % 6)
-               ).alias("series"),
-        F.when(F.col("p_type") != "SMALL",
-               F.when(F.col("p_size") > 1, F.concat(first_of_block, following))
-                .otherwise(F.array().cast("array<bigint>"))).alias("similar_books"))
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey AS book_id",
+        "p_name AS title",
+        "array(struct(p_brand AS author_id, 'Author' AS role)) AS authors",
+        "concat_ws(' ', p_brand, p_type) AS description",
+        "(p_size - 1) * 20 AS num_pages",
+        "CASE WHEN p_type <> 'PROMO' THEN array_repeat(p_brand, p_size % 6) END AS series",
+        """CASE WHEN p_type = 'SMALL' THEN NULL
+                WHEN p_size = 1 THEN cast(array() AS array<bigint>)
+                ELSE concat(array(p_partkey - p_partkey % 100),
+                            sequence(p_partkey + 1, p_partkey + p_size - 1)) END AS similar_books""")
 
 
 def rated_catalogue(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,31 +44,28 @@ def rated_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     Line items are counted per part before they meet the parts, so a part that
     holds a large share of them is one row by then.
     """
-    lines = table(spark, folder, "lineitem")
-    given = F.when(rating_of() > 0, rating_of())
-    stats = lines.groupBy(F.col("l_partkey").alias("book_id")).agg(
-        F.avg(given).alias("average_rating"),
-        F.count(given).cast("int").alias("ratings_count"),
-        F.count_if(F.col("l_returnflag") == "R").cast("int").alias("text_reviews_count"))
+    stats = (table(spark, folder, "lineitem")
+             .selectExpr("l_partkey AS book_id", "l_returnflag", f"nullif({RATING}, 0) AS given")
+             .groupBy("book_id")
+             .agg(F.expr("avg(given) AS average_rating"), F.expr("int(count(given)) AS ratings_count"),
+                  F.expr("int(count_if(l_returnflag = 'R')) AS text_reviews_count")))
     return catalogue(spark, folder).join(stats, "book_id", "left")
 
 
 def shelves(spark: SparkSession, folder: str) -> DataFrame:
     """(book_id, popular_shelves): the supplying nations of each part and how often each did.
 
-    Two combined counts come first, so what is collected per part is at most one
-    entry per nation (25 in this schema at any scale).
+    The count per part and nation comes first, so what is collected per part is
+    at most one entry per nation (25 in this schema at any scale).
     """
-    lines = table(spark, folder, "lineitem")
-    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    supplied = lines.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    per_nation = (skew_join(supplied, suppliers, "l_suppkey", hot=hot_keys(lines, "l_suppkey"))
-                  .groupBy("l_partkey", "s_nationkey").agg(F.sum("n").alias("n"))
-                  .join(F.broadcast(nations), "s_nationkey"))
-    shelf = F.struct(F.col("n").cast("string").alias("count"), F.lower("n_name").alias("name"))
-    return (per_nation.groupBy(F.col("l_partkey").alias("book_id"))
-                      .agg(F.sort_array(F.collect_list(shelf)).alias("popular_shelves")))
+    lines = table(spark, folder, "lineitem").selectExpr("l_partkey AS book_id", "l_suppkey AS s_suppkey")
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    nations = table(spark, folder, "nation").selectExpr("n_nationkey AS s_nationkey", "lower(n_name) AS name")
+    return (skew_join(lines, suppliers, "s_suppkey")
+            .groupBy("book_id", "s_nationkey").agg(F.expr("string(count(1)) AS count"))
+            .join(F.broadcast(nations), "s_nationkey")
+            .groupBy("book_id")
+            .agg(F.expr("sort_array(collect_list(struct(count, name))) AS popular_shelves")))
 
 
 def shelved_catalogue(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,13 +78,12 @@ def full_catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Review rows without text: every line item with the customer who ordered it."""
-    lines = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("book_id"),
-        rating_of().alias("rating"), F.col("l_linenumber").alias("n_votes"))
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey", "l_partkey AS book_id", f"{RATING} AS rating", "l_linenumber AS n_votes")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return skew_join(lines, orders, "o_orderkey").select(
-        "book_id", F.col("o_custkey").alias("user_id"), "rating", "n_votes",
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_added"))
+    return skew_join(lines, orders, "o_orderkey").selectExpr(
+        "book_id", "o_custkey AS user_id", "rating", "n_votes",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS date_added")
 
 
 def hot_books(spark: SparkSession, folder: str) -> list:
@@ -107,16 +98,18 @@ def titled_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return skew_join(given, titles, "book_id", hot=hot_books(spark, folder))
 
 
-def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as described books."""
-    return table(spark, folder, "documents").select(
+def texts(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """Documents as described books; over all cores when the work on them is ``costly``."""
+    documents = table(spark, folder, "documents").select(
         F.col("doc_id").alias("book_id"), F.col("source").alias("title"), F.col("text").alias("description"))
+    return spread(documents) if costly else documents
 
 
-def text_reviews(spark: SparkSession, folder: str) -> DataFrame:
+def text_reviews(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
     """Documents as reviews of the part with their number, rated by their label."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("rating"))
-    return (table(spark, folder, "documents")
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text", "n_chars")
+    return ((spread(documents) if costly else documents)
             .join(labels, "doc_id", "left")
             .select(F.col("doc_id").alias("book_id"), (F.col("doc_id") % 50).alias("user_id"),
                     F.col("text").alias("review_text"), "rating", F.col("n_chars").alias("n_votes"), "source"))
