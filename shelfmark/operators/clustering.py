@@ -103,7 +103,7 @@ def cluster_sizes(clustered: DataFrame) -> DataFrame:
     return label_counts(clustered, "cluster")
 
 
-def lda_topics(df: DataFrame, k: int = 8, terms: int = 10, max_iter: int = 10, vocabulary: int = 20_000,
+def lda_topics(df: DataFrame, k: int = 8, terms: int = 10, max_iter: int = 10, vocabulary: int = 1 << 18,
                min_docs: float = 2.0, seed: int = SEED, key: str = "book_id", title: str = "title",
                text: str = "description") -> tuple[DataFrame, DataFrame, PipelineModel]:
     """(records with their main topic, topics with their heaviest terms, model).

@@ -26,7 +26,7 @@ def normalize_reviews(raw: DataFrame) -> DataFrame:
 
 
 def reviews_with_books(reviews: DataFrame, books: DataFrame, key: str = "book_id",
-                       hot: list | None = None) -> DataFrame:
+                       hot: dict | None = None) -> DataFrame:
     """Each review with its book; reviews of unknown books are left out."""
     return skew_join(reviews, books, key, hot=hot)
 

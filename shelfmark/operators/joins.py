@@ -1,23 +1,26 @@
 """Equi joins that survive a key holding a large share of the rows."""
 
-from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, functions as F
 
 # Below this many sampled rows one task can hold any key, so nothing is hot.
 MIN_SAMPLED_ROWS = 20_000
-# Counters of the frequent-items sketch; its error, some 3.5 / TRACKED of the rows,
-# lies well below any share worth asking for.
+# Counters of the frequent-items sketch: its error, some 3.5 / TRACKED of the rows,
+# stays below SHARE.
 TRACKED = 10_000
+# What one part of a key may hold of all rows.
+SHARE = 0.001
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.005, sample: float = 0.02,
-             min_rows: int = MIN_SAMPLED_ROWS) -> list:
-    """Keys holding at least ``share`` of the (sampled) rows: at most 1/share values.
+def hot_keys(df: DataFrame, key: str, share: float = SHARE, sample: float = 0.02,
+             min_rows: int = MIN_SAMPLED_ROWS) -> dict:
+    """Keys holding more than ``share`` of the rows, each with the number of parts to split it into.
 
-    Only the key column is read, and each task sends one bounded sketch. The
-    result steers the physical plan alone: a missed or a superfluous key changes
-    no result, so a sample is enough.
+    Parts are counted so that each holds about ``share`` of the rows; together that
+    is at most 2/share parts. Only the key column is read, and each task sends one
+    bounded sketch. The answer steers the physical plan alone: a missed or a
+    superfluous key changes no result, so a sample is enough.
     """
     keys = df.select(F.col(key).alias("key")).filter("key IS NOT NULL")
     if sample < 1.0:
@@ -25,21 +28,22 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.005, sample: float = 0.02
     seen = keys.agg(F.count(F.lit(1)).alias("total"),
                     F.expr(f"approx_top_k(key, {int(1 / share)}, {TRACKED})").alias("top")).first()
     if seen["total"] < max(min_rows, 1):
-        return []
-    return [entry["item"] for entry in seen["top"] if entry["count"] >= share * seen["total"]]
+        return {}
+    shares = {entry["item"]: entry["count"] / seen["total"] for entry in seen["top"]}
+    return {item: ceil(held / share) for item, held in shares.items() if held > share}
 
 
 def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-              hot: Sequence | None = None, salts: int = 64) -> DataFrame:
+              hot: dict | None = None) -> DataFrame:
     """``fact`` joined to ``dim`` on ``key``, with the rows of hot keys spread out.
 
-    ``hot`` are the keys to spread; when it is not given they are looked for in
-    ``fact``, which should then be a table or a materialised frame, or the look
-    repeats what makes it. Without hot keys this is the plain join, and Spark picks broadcast or
-    sort-merge by size. Otherwise each hot key of ``fact`` is split into
-    ``salts`` parts by a hash of the whole row (not by a random number, so a
-    retried task routes every row as before), and only the few ``dim`` rows with
-    a hot key are repeated once per part.
+    ``hot`` maps the keys to spread to their number of parts; when it is not given
+    they are looked for in ``fact``, which should then be a table or a materialised
+    frame, or the look repeats what makes it. Without hot keys this is the plain
+    join, and Spark picks broadcast or sort-merge by size. Otherwise the ``fact``
+    rows of a hot key go to its parts by a hash of the whole row (not by a random
+    number, so a retried task routes every row as before), and only the ``dim``
+    rows with a hot key are repeated, once per part.
 
     ``how`` may be inner, left, left_semi or left_anti: the joins in which every
     fact row meets all its partners within its own part.
@@ -51,10 +55,13 @@ def skew_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     if not hot:
         return fact.join(dim, key, how)
 
-    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
-    atoms = [f.name for f in fact.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    spread = F.pmod(F.xxhash64(*atoms), F.lit(salts)).cast("int")
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted = fact.withColumn("_part", F.when(is_hot, spread).otherwise(F.lit(0)))
-    repeated = dim.withColumn("_part", F.explode(parts))
+    # The hottest keys come first, so that looking up a row's parts ends early.
+    ordered = sorted(hot, key=hot.get, reverse=True)
+    parts_of = F.map_from_arrays(F.lit(ordered), F.lit([hot[k] for k in ordered]))
+    is_hot = F.coalesce(F.col(key).isin(ordered), F.lit(False))
+    parts = F.when(is_hot, F.try_element_at(parts_of, F.col(key))).otherwise(F.lit(1))
+    hashed = [f.name for f in fact.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    own_part = F.when(is_hot, F.pmod(F.xxhash64(*hashed), parts).cast("int")).otherwise(F.lit(0))
+    salted = fact.withColumn("_part", own_part)
+    repeated = dim.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return salted.join(repeated, [key, "_part"], how).drop("_part")

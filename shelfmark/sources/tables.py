@@ -86,7 +86,7 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
         "date_format(o_orderdate, 'yyyy-MM-dd') AS date_added")
 
 
-def hot_books(spark: SparkSession, folder: str) -> list:
+def hot_books(spark: SparkSession, folder: str) -> dict:
     """Parts with a large share of the line items, found in the table itself."""
     return hot_keys(table(spark, folder, "lineitem"), "l_partkey")
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.joins import hot_keys, skew_join
 
-LOOK = {"sample": 1.0, "min_rows": 0, "share": 0.2}
+LOOK = {"sample": 1.0, "min_rows": 0, "share": 0.1}
 
 
 @pytest.fixture(scope="module")
@@ -26,29 +26,50 @@ def rows(df):
 
 
 def test_hot_keys_are_found(fact):
-    assert hot_keys(fact, "key", **LOOK) == ["hot"]
-    assert hot_keys(fact, "key") == []          # too few rows for a key to matter
-    assert hot_keys(fact.filter("key IS NULL"), "key", **LOOK) == []
+    assert hot_keys(fact, "key", **LOOK) == {"hot": 4}     # a third of the rows, in parts of a tenth
+    assert hot_keys(fact, "key") == {}                       # too few rows for a key to matter
+    assert hot_keys(fact.filter("key IS NULL"), "key", **LOOK) == {}
 
 
 def test_hot_keys_are_bounded(spark):
-    many = spark.range(1000).select((F.col("id") % 500).alias("key"))
-    assert len(hot_keys(many, "key", share=0.1, sample=1.0, min_rows=0)) <= 10
+    many = spark.range(4000).select(F.floor(F.sqrt(F.col("id") % 1000)).alias("key"))
+    found = hot_keys(many, "key", share=0.05, sample=1.0, min_rows=0)
+    assert found and sum(found.values()) <= 2 / 0.05
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot", [["hot"], ["hot", "k1", "not there"]])
+@pytest.mark.parametrize("hot", [{"hot": 7}, {"hot": 64, "k1": 2, "not there": 3, "k30": 1}])
 def test_salting_changes_no_result(fact, dim, how, hot):
-    salted = skew_join(fact, dim, "key", how, hot=hot, salts=7)
+    salted = skew_join(fact, dim, "key", how, hot=hot)
     assert rows(salted) == rows(fact.join(dim, "key", how))
 
 
-def test_hot_rows_are_spread(spark, fact, dim):
-    spread = fact.withColumn("part", F.pmod(F.xxhash64("key", "n"), F.lit(64))).filter("key = 'hot'")
-    assert spread.select("part").distinct().count() > 50
+def test_hot_rows_are_spread_over_the_tasks(spark, fact, dim):
+    def largest_task(hot):
+        joined = skew_join(fact, dim, "key", "left_semi", hot=hot)
+        return joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert largest_task({}) >= 1000
+        assert largest_task({"hot": 64}) < 500
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_joins_that_would_repeat_rows_are_refused(fact, dim):
     for how in ("right", "full"):
         with pytest.raises(ValueError):
-            skew_join(fact, dim, "key", how, hot=["hot"])
+            skew_join(fact, dim, "key", how, hot={"hot": 2})
+
+
+def test_number_keys(spark):
+    fact = spark.range(900).select(F.when(F.col("id") < 300, 7).otherwise(F.col("id")).alias("key"), "id")
+    dim = spark.range(0, 900, 2).select(F.col("id").alias("key"), F.lit("x").alias("y")).unionByName(
+        spark.createDataFrame([(7, "z")], "key long, y string"))
+    for how in ("inner", "left"):
+        assert rows(skew_join(fact, dim, "key", how, hot={7: 5})) == rows(fact.join(dim, "key", how))
