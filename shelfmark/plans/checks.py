@@ -539,7 +539,7 @@ items AS (SELECT book_id, CAST(row_number() OVER (ORDER BY count(*) DESC, book_i
 
 
 def _indexed(spark, sf) -> DataFrame:
-    deduped = materialise(_deduped(spark, sf))
+    deduped = materialise(rt.dedupe_ratings(tb.ratings(spark, sf), title=None))
     hot = rt.hot_ids(deduped)
     return rt.index_ids(materialise(rt.support_filter(deduped, hot=hot)), hot=hot)
 
@@ -569,7 +569,14 @@ def als_metrics(spark, sf):
 def als_recommendations(spark, sf):
     indexed = materialise(_indexed(spark, sf))
     train, _ = rt.split(indexed)
-    return rec.recommend(rec.fit_als(train), indexed)
+    titles = rt.item_titles(tb.titled_ratings(spark, sf))
+    return rec.recommend(rec.fit_als(train), indexed, titles)
+
+
+@query(f"""WITH {RATINGS} SELECT book_id, max(p_name) AS title FROM ratings JOIN part ON book_id = p_partkey
+  WHERE rating > 0 GROUP BY book_id""")
+def item_titles(spark, sf):
+    return rt.item_titles(tb.titled_ratings(spark, sf))
 
 
 # ---------------------------------------------------------------- clustering

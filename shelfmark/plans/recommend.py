@@ -12,9 +12,11 @@ def run(spark: SparkSession, source: str, out: str, k: int = 10, blocks: int | N
         max_iter: int = rec.MAX_ITER) -> DataFrame:
     """Write ``als_metrics`` (JSON) and ``als_recommendations`` (Parquet); returns the metrics.
 
-    Each shrinking step is materialised once, as the next one reads it several times.
+    Each shrinking step is materialised once, as the next one reads it several times;
+    titles stay out of those rows and join the recommendations at the end.
     """
-    deduped = materialise(rt.dedupe_ratings(files.read_parquet(spark, source)))
+    given = files.read_parquet(spark, source)
+    deduped = materialise(rt.dedupe_ratings(given, title=None))
     hot = rt.hot_ids(deduped)
     kept = materialise(rt.support_filter(deduped, min_user=min_user, min_item=min_item, hot=hot))
     indexed = materialise(rt.index_ids(kept, hot=hot))
@@ -22,5 +24,5 @@ def run(spark: SparkSession, source: str, out: str, k: int = 10, blocks: int | N
 
     model = rec.fit_als(train, rank=rank, reg_param=reg_param, max_iter=max_iter, blocks=blocks)
     files.write_json(rec.als_metrics(model, test, rank, reg_param, max_iter), f"{out}/als_metrics")
-    files.write_parquet(rec.recommend(model, indexed, k), f"{out}/als_recommendations")
+    files.write_parquet(rec.recommend(model, indexed, rt.item_titles(given), k), f"{out}/als_recommendations")
     return spark.read.json(f"{out}/als_metrics")
