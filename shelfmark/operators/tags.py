@@ -5,16 +5,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import GENERIC_SHELVES
-from .filters import has_items
 
 
 def flatten_tags(df: DataFrame, key: str = "book_id", array: str = "popular_shelves",
                  carry: Sequence[str] = ()) -> DataFrame:
     """One row per (record, tag): key, carried columns, shelf_name, shelf_count."""
-    return (df.filter(has_items(array))
-              .select(key, *carry, F.inline(F.transform(F.col(array), lambda s: F.struct(
-                  s["name"].alias("shelf_name"),
-                  s["count"].try_cast("int").alias("shelf_count"))))))
+    return (df.select(key, *carry, F.explode(array).alias("_tag"))
+              .select(key, *carry, F.col("_tag.name").alias("shelf_name"),
+                      F.col("_tag.count").try_cast("int").alias("shelf_count")))
 
 
 def tag_popularity(df: DataFrame, key: str = "book_id", array: str = "popular_shelves") -> DataFrame:
@@ -39,8 +37,7 @@ def by_usage(popularity: DataFrame) -> DataFrame:
 
 def reference_counts(df: DataFrame, key: str = "book_id", array: str = "similar_books") -> DataFrame:
     """In-degree of every item that is linked to; unsorted."""
-    return (df.filter(has_items(array))
-              .select(key, F.explode(array).alias("similar_book_id"))
+    return (df.select(key, F.explode(array).alias("similar_book_id"))
               .groupBy("similar_book_id")
               .agg(F.count(key).alias("referenced_count")))
 

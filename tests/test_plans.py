@@ -2,11 +2,14 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from data import RAW_BOOKS, RAW_REVIEWS, review
+from shelfmark.functions.text import KEYWORDS
+from shelfmark.operators import reports as rp
 from shelfmark.plans import index, prepare, recommend, sentiment, statistics, topics
 from shelfmark.schemas import LEXICON, RAW_BOOKS as BOOK_SCHEMA
 from shelfmark.sources import files
@@ -71,9 +74,14 @@ def test_statistics(spark, prepared, tmp_path):
     assert reports["dataset_counts"].first()["distinct_keys"] == 7
 
 
-def test_measures_fit_one_codegen_stage():
-    for group in (statistics.profile_reports(), statistics.text_reports(["a"] * 32)):
-        assert sum(len(r.aggregates()) for r in group) <= 100
+def test_measures_fit_one_codegen_stage(spark, prepared):
+    books = spark.read.parquet(f"{prepared[0]}/eda/parquet")
+    for group in (statistics.profile_reports(), statistics.text_reports(KEYWORDS)):
+        measured = rp.measure(books, group)
+        measured.collect()
+        plan = measured._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("FileScan") == 1
+        assert re.search(r"\*\(1\) HashAggregate", plan)
 
 
 def test_sentiment(spark, prepared, tmp_path):
