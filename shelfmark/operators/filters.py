@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .joins import skew_join
+
 
 def has_items(array: str | Column) -> Column:
     """True for a non-empty array; False (never NULL) for an empty or NULL one."""
@@ -40,15 +42,17 @@ def between(df: DataFrame, column: str, low, high) -> DataFrame:
     return df.filter(F.col(column).between(low, high))
 
 
-def exclude_values(df: DataFrame, column: str, values: Sequence | DataFrame) -> DataFrame:
+def exclude_values(df: DataFrame, column: str, values: Sequence | DataFrame,
+                   hot: dict | None = None) -> DataFrame:
     """Rows whose value is known and not in ``values``.
 
     A list becomes a literal set that is evaluated in the scan. A DataFrame with
-    the same column becomes an anti join, for lists that do not fit in a plan.
+    the same column becomes an anti join, for lists that do not fit in a plan;
+    ``hot`` is as in ``skew_join``.
     """
     known = df.filter(F.col(column).isNotNull())
     if isinstance(values, DataFrame):
-        return known.join(values.select(column).distinct(), column, "left_anti")
+        return skew_join(known, values.select(column).distinct(), column, "left_anti", hot=hot)
     return known.filter(~F.col(column).isin(list(values)))
 
 

@@ -344,6 +344,34 @@ def specific_shelves(spark, sf):
     return rp.label_counts(filters.between(rows, "shelf_count", 2, 4), "shelf_name", "books")
 
 
+# ------------------------------------------------------------------- filters
+
+@query(f"WITH {BOOKS} SELECT num_pages, count(*) AS books FROM books WHERE num_pages > 0 GROUP BY 1")
+def positive_pages(spark, sf):
+    return rp.label_counts(filters.positive(tb.catalogue(spark, sf), "num_pages"), "num_pages", "books")
+
+
+@query(f"""WITH {BOOKS} SELECT book_id, n_series, len(similar_books) AS n_similar FROM books
+  WHERE n_series > 0 AND len(similar_books) > 0 AND description <> ''""")
+def linked_series(spark, sf):
+    books = filters.non_empty_text(tb.catalogue(spark, sf), "description")
+    books = filters.non_empty_array(filters.non_empty_array(books, "series"), "similar_books")
+    return books.selectExpr("book_id", "size(series) AS n_series", "size(similar_books) AS n_similar")
+
+
+@query("""SELECT doc_id, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic
+  FROM documents LEFT JOIN labels USING (doc_id)""")
+def zero_filled_labels(spark, sf):
+    labelled = tb.table(spark, sf, "documents").select("doc_id").join(tb.table(spark, sf, "labels"), "doc_id", "left")
+    return filters.fill_zero(labelled, ["quality", "toxic"])
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unlabelled_documents(spark, sf):
+    documents = tb.table(spark, sf, "documents").select("doc_id")
+    return filters.exclude_values(documents, "doc_id", tb.table(spark, sf, "labels"))
+
+
 # ------------------------------------------------------- curated subsets
 
 @query(f"""WITH {RATINGS}, {BOOKS} SELECT book_id, user_id, rating, n_votes, date_added, title, num_pages
@@ -601,6 +629,17 @@ def cluster_sizes(spark, sf):
     return clustering.cluster_sizes(clustering.feature_clusters(tb.rated_catalogue(spark, sf), k=8)[0])
 
 
+@query(f"""WITH {RATED} SELECT 'keywords' AS clustering, count(*) AS records FROM documents WHERE {SQL_LETTERS} <> ''
+  UNION ALL SELECT 'numbers', count(*) FROM rated""")
+def clustered_records(spark, sf):
+    """Every record that has something to go by is in exactly one cluster."""
+    sizes = {"keywords": clustering.keyword_clusters(tb.texts(spark, sf, costly=True), keywords=TERMS)[0],
+             "numbers": clustering.feature_clusters(tb.rated_catalogue(spark, sf), k=8)[0]}
+    totals = [clustering.cluster_sizes(frame).agg(F.sum("count").alias("records"))
+              .select(F.lit(name).alias("clustering"), "records") for name, frame in sizes.items()]
+    return totals[0].unionByName(totals[1])
+
+
 @query()
 def tfidf_features(spark, sf):
     return clustering.tfidf_features(tb.texts(spark, sf, costly=True))[0].select("book_id", "title", F.col("features").cast("string"))
