@@ -25,7 +25,8 @@ GENERIC_SHELVES = [
 # Two spellings of "any character but these" that Java matches several times
 # faster than the plain negated class. Letters are kept with ASCII blanks;
 # letters and digits with every Unicode blank and the separators 1C-1F.
-NOT_LETTERS = r"(?s)(?![a-zA-Z\s])."
+KEPT = r"[a-zA-Z\s]"
+NOT_LETTERS = rf"(?s)(?!{KEPT})."
 NOT_ALNUM = r"(?U)[^a-zA-Z0-9\s\x1C-\x1F]"
 BLANKS = r"(?U)[\s\x1C-\x1F]+"
 

@@ -15,9 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..checkpoints import materialise
-from ..functions.text import KEYWORDS, letters_only, mentions
+from ..functions.text import KEPT, KEYWORDS, letters_only, mentions
 from ..sources.files import spread
-from .filters import has_text
 from .reports import label_counts
 
 SEED = 42
@@ -25,9 +24,13 @@ PROFILE = ("average_rating", "num_pages", "ratings_count", "text_reviews_count")
 
 
 def cleaned_texts(df: DataFrame, key: str, title: str, text: str) -> DataFrame:
-    """key, title and the letters of the text, where any character is left of it."""
-    return (df.select(key, title, letters_only(F.col(text)).alias("description_clean"))
-              .filter(has_text("description_clean")))
+    """key, title and the letters of the text, where any character is left of it.
+
+    The filter asks the raw text for one such character, so that the cleaning is
+    not done a second time for the comparison with ''.
+    """
+    return (df.filter(F.col(text).rlike(KEPT))
+              .select(key, title, letters_only(F.col(text)).alias("description_clean")))
 
 
 def _apply(stages: Sequence, df: DataFrame) -> DataFrame:

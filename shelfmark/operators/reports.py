@@ -243,10 +243,10 @@ def missing(title: str, text: Sequence[str] = (), arrays: Sequence[str] = (),
     absent |= {c: f"{name(c)} IS NULL" for c in plain}
 
     def measures(m):
-        return {**{c: f"count_if({m(c)})" for c in absent}, "all": "count(1)"}
+        return {**{c: f"count_if({m(c)})" for c in absent}, "* total": "count(1)"}
 
     def rows(m):
-        return [{"column": quoted(c), "missing": m(c), "percentage": percent_sql(m(c), m("all"))} for c in absent]
+        return [{"column": quoted(c), "missing": m(c), "percentage": percent_sql(m(c), m("* total"))} for c in absent]
 
     return Report(title, absent, measures, rows)
 
