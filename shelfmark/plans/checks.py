@@ -351,7 +351,7 @@ def positive_pages(spark, sf):
     return rp.label_counts(filters.positive(tb.catalogue(spark, sf), "num_pages"), "num_pages", "books")
 
 
-@query(f"""WITH {BOOKS} SELECT book_id, n_series, len(similar_books) AS n_similar FROM books
+@query(f"""WITH {BOOKS} SELECT book_id, n_series, CAST(len(similar_books) AS INTEGER) AS n_similar FROM books
   WHERE n_series > 0 AND len(similar_books) > 0 AND description <> ''""")
 def linked_series(spark, sf):
     books = filters.non_empty_text(tb.catalogue(spark, sf), "description")
