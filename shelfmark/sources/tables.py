@@ -83,7 +83,7 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return skew_join(lines, orders, "o_orderkey").selectExpr(
         "book_id", "o_custkey AS user_id", "rating", "n_votes",
-        "date_format(o_orderdate, 'yyyy-MM-dd') AS date_added")
+        "string(date(o_orderdate)) AS date_added")
 
 
 def hot_books(spark: SparkSession, folder: str) -> dict:
