@@ -1,0 +1,81 @@
+"""The operators applied to whole tables, with SQL twins where SQL can say the same."""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from . import mixing, packing, sharding
+
+LENGTH, END_ID = 1024, 2
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def vocabulary() -> tuple[str, str]:
+    """The ranks file of the byte-level vocabulary, and the pattern that splits texts for it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, folder), *vocabulary(), LENGTH, END_ID)
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.mix_plan(documents(spark, folder))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    cut = sharding.cut_shards(documents(spark, folder), 24)
+    return cut.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_packing": op7_packing,
+    "op8_mixing": op8_mixing,
+    "op10_sharding": op10_sharding,
+}
+
+SQL: dict[str, str] = {
+    "op8_mixing": """
+        WITH sized AS (
+            SELECT doc_id, source, text,
+                   CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END AS size,
+                   ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15))::BIGINT
+                       AS place
+            FROM documents),
+        sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+        weighed AS (
+            SELECT *, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS weight,
+                   row_number() OVER (ORDER BY source NULLS LAST) AS rank
+            FROM sources),
+        levels AS (
+            SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(source_size) OVER filled, 0) * 2.0::DOUBLE)
+                      / sum(weight) OVER onward AS level, source_size / weight AS ratio
+            FROM weighed
+            WINDOW filled AS (ORDER BY source_size / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                   onward AS (ORDER BY source_size / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        opened AS (SELECT level FROM levels WHERE level * weight <= source_size * 2.0 ORDER BY ratio, rank LIMIT 1),
+        targets AS (
+            SELECT source, source_size,
+                   least(source_size * 2.0::DOUBLE, coalesce((SELECT level FROM opened), 0) * weight) AS target
+            FROM levels),
+        budgets AS (
+            SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies
+            FROM targets),
+        running AS (
+            SELECT s.doc_id, s.size, b.source_size, b.target, b.copies,
+                   coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place
+                                              RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                   sum(s.size) OVER (PARTITION BY s.source, s.place) AS together
+            FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+               CAST(size * (copies + CASE WHEN before + together / 2.0 < target - copies * source_size
+                                          THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM running""",
+}
