@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, sharding
+from . import mixing, packing, quality, sharding, simhash
 
 LENGTH, END_ID = 1024, 2
 
@@ -20,6 +20,14 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), *vocabulary(), LENGTH, END_ID)
 
@@ -36,6 +44,8 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op4_simhash": op4_simhash,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op10_sharding": op10_sharding,
