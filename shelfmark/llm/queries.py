@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality, sharding, simhash
+from . import mixing, packing, pii, quality, sharding, simhash
 
 LENGTH, END_ID = 1024, 2
 
@@ -28,6 +28,14 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_private(documents(spark, folder))
+    of_kind = [F.size(F.filter("rule_spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+               for kind in pii.KINDS]
+    return found.select("doc_id", *of_kind, F.sha2(pii.listed(F.col("rule_spans")), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents(spark, folder), *vocabulary(), LENGTH, END_ID)
 
@@ -46,6 +54,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_simhash": op4_simhash,
+    "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
     "op10_sharding": op10_sharding,
