@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import mixing, packing, pii, quality, sharding, simhash
 
@@ -20,6 +20,12 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def _counts(kinds: tuple[str, ...]) -> list[Column]:
+    """Number of the rules' spans of each kind."""
+    return [F.expr(f"cast(size(filter(rule_spans, s -> s.kind = '{kind}')) AS long)").alias(f"n_{kind}")
+            for kind in kinds]
+
+
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -30,9 +36,7 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_private(documents(spark, folder))
-    of_kind = [F.size(F.filter("rule_spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-               for kind in pii.KINDS]
-    return found.select("doc_id", *of_kind, F.sha2(pii.listed(F.col("rule_spans")), 256).alias("base_sha256"),
+    return found.select("doc_id", *_counts(pii.KINDS), F.sha2(pii.listed(F.col("rule_spans")), 256).alias("base_sha256"),
                         pii.listed(F.col("spans")).alias("spans"))
 
 
