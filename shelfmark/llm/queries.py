@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, pii, quality, sharding, simhash
+from . import fingerprints, mixing, packing, pii, quality, sharding, simhash
 
 LENGTH, END_ID = 1024, 2
 
@@ -30,6 +30,10 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(documents(spark, folder))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -57,6 +61,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_fingerprints": op2_fingerprints,
     "op4_simhash": op4_simhash,
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,
