@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import fingerprints, mixing, packing, pii, quality, sharding, simhash
+from . import fingerprints, mixing, packing, pii, quality, secrets, sharding, simhash
 
 LENGTH, END_ID = 1024, 2
 
@@ -34,6 +34,13 @@ def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_versions(documents(spark, folder))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, folder))
+    return found.select("doc_id", *_counts(tuple(rule.kind for rule in secrets.BASE)),
+                        F.sha2(pii.listed(F.col("rule_spans")), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
@@ -62,6 +69,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_fingerprints": op2_fingerprints,
+    "op3_secrets": op3_secrets,
     "op4_simhash": op4_simhash,
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,
