@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import fingerprints, mixing, packing, pii, quality, secrets, sharding, simhash
+from . import fingerprints, mixing, neighbours, packing, pii, quality, secrets, sharding, simhash
 
 LENGTH, END_ID = 1024, 2
 
@@ -45,6 +45,10 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"), "vec_id % 100 = 0")
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_private(documents(spark, folder))
     return found.select("doc_id", *_counts(pii.KINDS), F.sha2(pii.listed(F.col("rule_spans")), 256).alias("base_sha256"),
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_secrets": op3_secrets,
     "op4_simhash": op4_simhash,
+    "op5_neighbours": op5_neighbours,
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
