@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import fingerprints, mixing, neighbours, packing, pii, quality, secrets, sharding, simhash
+from . import fingerprints, html_text, mixing, neighbours, packing, pii, quality, secrets, sharding, simhash
 
 LENGTH, END_ID = 1024, 2
 
@@ -64,6 +64,10 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.page_texts(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     cut = sharding.cut_shards(documents(spark, folder), 24)
     return cut.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_mixing": op8_mixing,
+    "op9_html_text": op9_html_text,
     "op10_sharding": op10_sharding,
 }
 
