@@ -4,6 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .checkpoints import scratch
 from .plans import index, prepare, recommend, sentiment, statistics, topics
 from .sources import files
 
@@ -30,10 +31,16 @@ def main() -> None:
             job.add_argument("--blocks", type=int, help="number of user and item blocks")
         if name == "index":
             job.add_argument("--index", default="catalogue")
-            job.add_argument("--docs-per-file", type=int, default=500)
+            job.add_argument("--docs-per-batch", type=int, default=500)
+            job.add_argument("--docs-per-file", type=int, help="text files of so many documents instead of JSON rows")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"shelfmark-{args.job}").getOrCreate()
+    with scratch(spark):
+        run(spark, args)
+    spark.stop()
+
 
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "prepare":
         prepare.run(spark, args.source, args.out).show()
     elif args.job == "statistics":
@@ -52,11 +59,10 @@ def main() -> None:
     elif args.job == "recommend":
         recommend.run(spark, args.source, args.out, blocks=args.blocks).show()
     elif args.job == "index":
-        index.run(spark, args.source, args.out, args.index, args.docs_per_file)
+        index.run(spark, args.source, args.out, args.index, args.docs_per_batch, args.docs_per_file)
     else:
         for frame in files.profile_table(files.read_parquet(spark, args.source)):
             frame.show(50, truncate=False)
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -2,14 +2,10 @@
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Tables to remove when the enclosing ``scratch`` ends; None outside of any.
-_kept: ContextVar[list | None] = ContextVar("kept", default=None)
-
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a session without one gets a folder of its warehouse, which is shared as well."""
@@ -22,48 +18,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def kept_path(spark: SparkSession) -> str:
-    """A fresh path for a table in the checkpoint folder."""
-    path = f"{checkpoint_dir(spark)}/materialised-{uuid4().hex}"
-    if _kept.get() is not None:
-        _kept.get().append(path)
-    return path
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` computed once into a Parquet table that later jobs read, by column.
 
     A lost executor costs a re-read, not a recomputation.
     """
-    path = kept_path(df.sparkSession)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/materialised-{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pin_partitions(df: DataFrame) -> DataFrame:
     """``df`` checkpointed: as ``materialise``, but every row stays in its partition, in order."""
     checkpoint_dir(df.sparkSession)
-    pinned = df.checkpoint(eager=True)
-    if _kept.get() is not None:
-        file = pinned._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
-        _kept.get().append(file.get())
-    return pinned
+    return df.checkpoint(eager=True)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a kept table, by the file system it is in."""
-    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(context.hadoopConfiguration()).delete(place, True)
+    """Delete a folder, by the file system it is in."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """What is kept within this block is removed at its end: results must be written by then."""
-    token = _kept.set([])
+    """What is kept or checkpointed within this block is removed at its end: results must be written by then."""
+    context, before = spark.sparkContext, checkpoint_dir(spark)
+    own = f"{before}/job-{uuid4().hex}"
+    context.setCheckpointDir(own)
     try:
         yield
     finally:
-        for path in _kept.get():
-            remove(spark, path)
-        _kept.reset(token)
+        remove(spark, own)
+        context.setCheckpointDir(before)

@@ -23,8 +23,8 @@ def _positive(column: str) -> str:
     return f"CASE WHEN {name(column)} > 0 THEN {name(column)} END"
 
 
-def page_summary(column: str = "num_pages", accuracy: int = 10_000) -> rp.Report:
-    return rp.summary("page_stats", _positive(column), "pages", accuracy)
+def page_summary(column: str = "num_pages") -> rp.Report:
+    return rp.summary("page_stats", _positive(column), "pages")
 
 
 def page_distribution(column: str = "num_pages", ladder=ladders.PAGES) -> rp.Report:
@@ -48,8 +48,8 @@ def rating_distribution(column: str = "average_rating", ladder=ladders.RATING) -
     return rp.histogram("rating_distribution", name(column), ladder, "rating_bucket")
 
 
-def engagement_summary(column: str = "ratings_count", accuracy: int = 10_000) -> rp.Report:
-    return rp.summary("engagement_stats", name(column), "ratings", accuracy)
+def engagement_summary(column: str = "ratings_count") -> rp.Report:
+    return rp.summary("engagement_stats", name(column), "ratings")
 
 
 def engagement_distribution(column: str = "ratings_count", ladder=ladders.ENGAGEMENT) -> rp.Report:

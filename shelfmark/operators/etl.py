@@ -31,17 +31,25 @@ def reviews_with_books(reviews: DataFrame, books: DataFrame, key: str = "book_id
     return skew_join(reviews, books, key, hot=hot)
 
 
-def nlp_subset(full: DataFrame, min_len: int = 10, text: str = "review_text") -> DataFrame:
+def with_text(reviews: DataFrame, min_len: int = 10, text: str = "review_text") -> DataFrame:
     """Reviews with more than ``min_len`` characters of text."""
-    return (full.filter(F.length(text) > min_len)
-                .select("book_id", "user_id", text, "rating", "n_votes", "title"))
+    return reviews.filter(F.length(text) > min_len)
 
 
-def rec_subset(full: DataFrame, rating: str = "rating") -> DataFrame:
+def with_rating(reviews: DataFrame, rating: str = "rating") -> DataFrame:
     """Reviews that carry a rating (0 stands for none)."""
-    return (full.filter(F.col(rating) > 0)
-                .select("user_id", "book_id", rating, "title", "popular_shelves", "series",
-                        "similar_books", "description", "average_rating"))
+    return reviews.filter(F.col(rating) > 0)
+
+
+def nlp_subset(full: DataFrame, min_len: int = 10, text: str = "review_text") -> DataFrame:
+    """Review columns of the reviews ``with_text``; filter them before they join the books as well."""
+    return with_text(full, min_len, text).select("book_id", "user_id", text, "rating", "n_votes", "title")
+
+
+def rec_subset(full: DataFrame, rating: str = "rating") -> DataFrame:
+    """Rating and book columns of the reviews ``with_rating``; filter them before they join the books as well."""
+    return with_rating(full, rating).select("user_id", "book_id", rating, "title", "popular_shelves", "series",
+                                            "similar_books", "description", "average_rating")
 
 
 def eda_subset(books: DataFrame, min_ratings: int = 10) -> DataFrame:

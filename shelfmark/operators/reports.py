@@ -13,8 +13,9 @@ a handful of calls.
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..checkpoints import pin_partitions
 from ..functions.ladders import Ladder
 from ..functions.numbers import percent_sql, rounded_sql
 from ..functions.text import quoted
@@ -45,7 +46,7 @@ class Report:
     layers: tuple[Layer, ...] = ()
     drop_if_zero: str | None = None
     label: str | None = None
-    sketch: bool = False
+    quantiles: tuple[float, ...] = ()      # shares at which ``v`` is read off, as the array measure ``q``
 
     def named(self, key: str) -> str:
         return name(f"{self.title}__{key}")
@@ -82,18 +83,45 @@ def _inline(rows: Sequence[Row]) -> str:
 
 
 def measure(df: DataFrame, reports: Sequence[Report]) -> DataFrame:
-    """One row with the measures of all ``reports``, from one scan of ``df``.
-
-    A quantile sketch weighs a few hundred KB where a count weighs 8 bytes, and all
-    of them meet in the last task. With a sketch among the measures, the scan runs
-    in two tasks per core at most, so that their number does not grow with the table.
-    """
-    if any(r.sketch for r in reports):
-        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    """One row with the measures of all ``reports``, from one scan of ``df``, and one more for each with quantiles."""
+    rows = df
     depth = max(len(r.layers) for r in reports)
     for step in zip(*(r.projections(depth) for r in reports)):
         df = df.selectExpr(*[sql for expressions in step for sql in expressions])
-    return df.selectExpr(*[sql for r in reports for sql in r.aggregates()])
+    measured = df.selectExpr(*[sql for r in reports for sql in r.aggregates()])
+    for r in reports:
+        if r.quantiles:
+            found = exact_quantiles(rows, r.inputs["v"], r.quantiles, f"{r.title}__q")
+            measured = (measured.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one")
+                        .drop("_one"))
+    return measured
+
+
+def exact_quantiles(df: DataFrame, value: str, points: Sequence[float], alias: str) -> DataFrame:
+    """One row with an array: for each point, the least value that at least that share of the rows does not exceed.
+
+    Equal values are counted in each task before they meet, then sorted by range. The
+    totals of the ranges, one row each, tell in which of them a point lies; only those are
+    added up value by value. NULL values count for nothing.
+    """
+    counted = df.selectExpr(f"{value} AS v").filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    # Sorted once and kept, as the ranges must be the same for both steps.
+    placed = pin_partitions(counted.orderBy("v")).select("v", "n", F.spark_partition_id().alias("part"))
+    totals = placed.groupBy("part").agg(F.sum("n").alias("rows"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = totals.select("part", "rows", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
+                           F.sum("rows").over(Window.partitionBy()).alias("total"))
+    ranked = ranges.select("part", "before", "rows", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("point"), F.greatest(F.ceil(F.lit(float(p)) * F.col("total")), F.lit(1)).alias("rank"))
+        for i, p in enumerate(points)])).alias("of"))
+    sought = ranked.select("part", "before", "of.*").filter("rank > before").join(
+        ranges.select("part", "rows"), "part").filter("rank <= before + rows").drop("rows")
+    # As many rows as points.
+    reached = placed.join(F.broadcast(sought), "part").withColumn("upto", F.col("before") + F.sum("n").over(
+        Window.partitionBy("part", "point").orderBy("v")))
+    least = reached.groupBy("point").agg(F.min(F.when(F.col("upto") >= F.col("rank"), F.col("v"))).alias("v"))
+    pairs = F.map_from_entries(F.collect_list(F.struct("point", "v")))
+    return least.agg(F.array(*[F.try_element_at(pairs, F.lit(i)) for i in range(len(points))]).alias(alias))
 
 
 # --------------------------------------------------------------- histograms
@@ -209,30 +237,21 @@ def moments(title: str, value: str, suffix: str) -> Report:
     return Report(title, {"v": value}, _moment_measures, lambda m: [_moment_columns(m, suffix)])
 
 
-def summary(title: str, value: str, suffix: str, accuracy: int = 10_000) -> Report:
-    """The four moments, the three quartiles, and how far the mean lies above the median.
-
-    The quartiles come from a mergeable sketch whose rank error is 1/accuracy of
-    the rows, so the state per task stays bounded.
-    """
-    def measures(m):
-        return {**_moment_measures(m), "q": f"percentile_approx({m('v')}, array(0.25, 0.5, 0.75), {accuracy})"}
-
+def summary(title: str, value: str, suffix: str) -> Report:
+    """The four moments, the three quartiles (exact), and how far the mean lies above the median."""
     def rows(m):
         quartiles = {f"{label}_{suffix}": f"{m('q')}[{i}]" for i, label in enumerate(("q1", "median", "q3"))}
         gap = rounded_sql(f"{rounded_sql(m('mean'))} - {m('q')}[1]")
         return [{**_moment_columns(m, suffix), **quartiles, "mean_median_gap": gap}]
 
-    return Report(title, {"v": value}, measures, rows, sketch=True)
+    return Report(title, {"v": value}, _moment_measures, rows, quantiles=(0.25, 0.5, 0.75))
 
 
-def approx_quantiles(title: str, value: str, points: Sequence[float], accuracy: int = 10_000) -> Report:
+def quantile_report(title: str, value: str, points: Sequence[float]) -> Report:
     """One row per point: the value below which that share of the rows lies."""
-    shares = ", ".join(f"{p}D" for p in points)
-    return Report(title, {"v": value},
-                  lambda m: {"q": f"percentile_approx({m('v')}, array({shares}), {accuracy})"},
+    return Report(title, {"v": value}, lambda m: {"n": f"count({m('v')})"},
                   lambda m: [{"quantile": f"{p}D", "value": f"{m('q')}[{i}]"} for i, p in enumerate(points)],
-                  sketch=True)
+                  quantiles=tuple(points))
 
 
 def missing(title: str, text: Sequence[str] = (), arrays: Sequence[str] = (),

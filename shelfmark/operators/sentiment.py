@@ -4,76 +4,52 @@ The score of a text is the mean polarity of its words that are in the lexicon,
 0.0 when there are none. The lexicon is a table (word, polarity in [-1, 1]).
 """
 
-import json
-import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import alnum_only, words
-from .joins import hot_keys, skew_join
+from .joins import fits_a_broadcast, hot_keys, skew_join
 
-# A lexicon up to this many words travels inside the plan (a few MB at most).
-MAX_INLINE_WORDS = 50_000
+# Polarities are added up as whole numbers of this unit, so their order changes no score.
+UNITS = 1_000_000_000
+# Of the texts, how many are looked at for words that are met very often.
+SAMPLED_TEXTS = 0.02
 
 # ---- fixed values: label thresholds ----
 POSITIVE_FROM = 0.1
 NEGATIVE_UP_TO = -0.1
 
 
-def _one_polarity_per_word(lexicon: DataFrame) -> DataFrame:
+def _units_per_word(lexicon: DataFrame) -> DataFrame:
+    """(word, units): words in small letters, repeated ones with the mean of their polarities."""
     return (lexicon.filter(F.col("word").isNotNull() & F.col("polarity").isNotNull())
                    .groupBy(F.lower("word").alias("word"))
-                   .agg(F.avg("polarity").alias("polarity")))
+                   .agg(F.round(F.avg("polarity") * UNITS).cast("long").alias("units")))
 
 
 def sentiment_score(df: DataFrame, text: str, lexicon: DataFrame, replacement: str = "",
-                    score: str = "sentiment_score", max_inline: int = MAX_INLINE_WORDS) -> DataFrame:
+                    score: str = "sentiment_score", strategy: str | None = None) -> DataFrame:
     """``df`` with the sentiment of ``text`` in a new column.
 
-    A lexicon of at most ``max_inline`` words is fetched (one word more tells
-    whether it is) and looked up row by row: the texts are neither exploded nor
-    shuffled. A larger one is joined word by word instead.
-    """
-    lexicon = _one_polarity_per_word(lexicon)
-    entries = lexicon.limit(max_inline + 1).collect()
-    if len(entries) <= max_inline:
-        table = {row["word"]: row["polarity"] for row in entries}
-        return df.withColumn(score, _inline_score(words(alnum_only(F.col(text), replacement)), table))
-    return _joined_score(df, text, lexicon, replacement, score)
-
-
-def _inline_score(tokens: Column, table: dict[str, float]) -> Column:
-    """Mean polarity of ``tokens``, from a hash table of small maps held as one literal."""
-    slots = max(1, len(table))
-    buckets: list[dict[str, float]] = [{} for _ in range(slots)]
-    for word, polarity in table.items():
-        buckets[zlib.crc32(word.encode()) % slots][word] = polarity
-    literal = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
-
-    def polarity_of(word: Column) -> Column:
-        slot = F.pmod(F.crc32(F.encode(word, "utf-8")), F.lit(slots)).cast("int")
-        return F.try_element_at(F.get(literal, slot), word)
-
-    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
-    return F.aggregate(
-        F.filter(F.transform(tokens, polarity_of), lambda p: p.isNotNull()), start,
-        lambda acc, p: F.struct((acc["sum"] + p).alias("sum"), (acc["n"] + 1).alias("n")),
-        lambda acc: F.coalesce(F.try_divide(acc["sum"], acc["n"]), F.lit(0.0)))
-
-
-def _joined_score(df: DataFrame, text: str, lexicon: DataFrame, replacement: str, score: str) -> DataFrame:
-    """The same through joins. The score depends on the text alone, so its digest is the key:
-    copies of a text fall together while counting, and a much copied one is salted when the
-    scores go back to the rows.
+    Words are joined to the lexicon, which Spark broadcasts if it is small; then no word
+    leaves its task before the sums per text. ``strategy`` is a join hint for the lexicon.
+    The score depends on the text alone, so its digest is the key: copies of a text fall
+    together, and a much copied one is salted when the scores go back to the rows. Of
+    these only the columns that the caller goes on to use are moved. Polarities are exact
+    in units of 1e-9 and divided once.
     """
+    units = _units_per_word(lexicon)
+    cleaned = words(alnum_only(F.col(text), replacement))
     digest = F.sha2(F.col(text), 256).alias("_digest")
-    tokens = df.select(digest, F.explode(words(alnum_only(F.col(text), replacement))).alias("word"))
-    counted = tokens.groupBy("_digest", "word").agg(F.count(F.lit(1)).alias("n"))
-    common = hot_keys(tokens, "word")
-    scores = (skew_join(counted, lexicon, "word", hot=common)
-              .groupBy("_digest")
-              .agg((F.sum(F.col("polarity") * F.col("n")) / F.sum("n")).alias(score)))
+    small = strategy is None and fits_a_broadcast(units)
+    common = {} if small else hot_keys(
+        df.sample(fraction=SAMPLED_TEXTS, seed=17).select(F.explode(cleaned).alias("word")), "word", sample=1.0)
+    tokens = df.select(digest, F.explode(cleaned).alias("word"))
+    found = skew_join(tokens, units.hint(strategy) if strategy else units, "word", hot=common)
+    # Copies are counted alike, so a text's sum over all of them has the same mean.
+    scores = found.groupBy("_digest").agg(
+        (F.sum("units").cast("double") / (F.count(F.lit(1)) * F.lit(float(UNITS)))).alias(score))
     copied = hot_keys(df.select(digest), "_digest")
     return (skew_join(df.select("*", digest), scores, "_digest", "left", hot=copied)
             .select(*df.columns, F.coalesce(score, F.lit(0.0)).alias(score)))
@@ -87,9 +63,9 @@ def sentiment_label(score: str | Column = "sentiment_score") -> Column:
 
 
 def score_reviews(reviews: DataFrame, lexicon: DataFrame, text: str = "review_text",
-                  replacement: str = "", max_inline: int = MAX_INLINE_WORDS) -> DataFrame:
+                  replacement: str = "", strategy: str | None = None) -> DataFrame:
     """Reviews with sentiment_score and sentiment_label."""
-    scored = sentiment_score(reviews, text, lexicon, replacement, max_inline=max_inline)
+    scored = sentiment_score(reviews, text, lexicon, replacement, strategy=strategy)
     return scored.withColumn("sentiment_label", sentiment_label())
 
 

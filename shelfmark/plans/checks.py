@@ -5,7 +5,7 @@ A query without SQL is one whose result SQL cannot state (model fits).
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..checkpoints import materialise
 from ..functions.ladders import Ladder
@@ -13,7 +13,6 @@ from ..functions.numbers import rounded
 from ..functions.text import alnum_only, letters_only
 from ..operators import (catalogue as cat, clustering, etl, filters, keywords as kw, ratings as rt,
                          recommend as rec, reports as rp, sentiment as sn, tags)
-from ..operators.joins import hot_keys
 from ..schemas import LEXICON
 from ..sources import files, tables as tb
 
@@ -167,7 +166,7 @@ def rating_summary(spark, sf):
     f"SELECT CAST({p} AS DOUBLE) AS quantile, quantile_disc(num_pages, {p}) AS value FROM books"
     for p in (0.1, 0.5, 0.9)))
 def approx_quantiles(spark, sf):
-    return rp.approx_quantiles("q", "num_pages", (0.1, 0.5, 0.9)).of(tb.catalogue(spark, sf))
+    return rp.quantile_report("q", "num_pages", (0.1, 0.5, 0.9)).of(tb.catalogue(spark, sf))
 
 
 # ------------------------------------------------------------- distributions
@@ -369,7 +368,7 @@ def zero_filled_labels(spark, sf):
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def unlabelled_documents(spark, sf):
     documents = tb.table(spark, sf, "documents").select("doc_id")
-    return filters.exclude_values(documents, "doc_id", tb.table(spark, sf, "labels"))
+    return filters.exclude_values(documents, "doc_id", tb.table(spark, sf, "labels"), hot={})     # ids are unique
 
 
 # ------------------------------------------------------- curated subsets
@@ -386,8 +385,8 @@ def reviews_with_books(spark, sf):
 FROM documents LEFT JOIN labels USING (doc_id) JOIN part ON doc_id = p_partkey WHERE length(text) > 10""")
 def nlp_subset(spark, sf):
     books = tb.catalogue(spark, sf).select("book_id", "title")
-    hot = hot_keys(tb.table(spark, sf, "documents"), "doc_id")
-    return etl.nlp_subset(etl.reviews_with_books(tb.text_reviews(spark, sf), books, hot=hot))
+    reviews = tb.rated(etl.with_text(tb.unrated_reviews(spark, sf)), spark, sf)
+    return etl.nlp_subset(etl.reviews_with_books(reviews, books, hot={}))      # one review of each document
 
 
 @query(f"""WITH {RATINGS}, {RATED}, {SHELF_ROWS}, listed AS (
@@ -397,7 +396,7 @@ SELECT r.user_id, r.book_id, r.rating, title, s AS popular_shelves, n_series,
        array_to_string(similar_books, '|') AS similar_books, description, average_rating
 FROM ratings r JOIN rated USING (book_id) LEFT JOIN listed ON r.book_id = b WHERE r.rating > 0""")
 def rec_subset(spark, sf):
-    full = etl.reviews_with_books(tb.ratings(spark, sf), tb.full_catalogue(spark, sf),
+    full = etl.reviews_with_books(etl.with_rating(tb.ratings(spark, sf)), tb.full_catalogue(spark, sf),
                                   hot=tb.hot_books(spark, sf))
     shelf = F.transform("popular_shelves", lambda s: F.concat_ws(":", s["count"], s["name"]))
     return etl.rec_subset(full).select(
@@ -413,6 +412,22 @@ def eda_subset(spark, sf):
         "book_id", "title", "num_pages", "average_rating", "ratings_count", "text_reviews_count")
 
 
+# Parts for the keys that the salted queries spread, present or not.
+SPREAD = {1: 7, 2: 64, 3: 2, 100: 16, -1: 3}
+
+
+@query(SQL["reviews_with_books"])
+def reviews_with_books_salted(spark, sf):
+    books = tb.catalogue(spark, sf).select("book_id", "title", "num_pages")
+    return etl.reviews_with_books(tb.ratings(spark, sf), books, hot=SPREAD)
+
+
+@query(SQL["unlabelled_documents"])
+def unlabelled_documents_salted(spark, sf):
+    documents = tb.table(spark, sf, "documents").select("doc_id")
+    return filters.exclude_values(documents, "doc_id", tb.table(spark, sf, "labels"), hot=SPREAD)
+
+
 # ------------------------------------------------------------------ keywords
 
 # The texts are invented prose: these occur in it, but for one.
@@ -482,16 +497,17 @@ SQL_LETTERS = r"lower(regexp_replace(text, '[^a-zA-Z\t-\r ]', '', 'g'))"
 @query(f"SELECT doc_id, {SQL_ALNUM} AS alnum, {SQL_LETTERS} AS letters FROM documents")
 def clean_text(spark, sf):
     text = F.col("description")
-    return tb.texts(spark, sf, costly=True).select(
+    return tb.texts(spark, sf).select(
         F.col("book_id").alias("doc_id"), alnum_only(text).alias("alnum"), letters_only(text).alias("letters"))
 
 
-# Polarities that add up without rounding, so that every engine finds the same mean.
-POLARITIES = [("with", 0.5), ("that", -0.25), ("it", 0.25), ("was", -0.5), ("free", 0.75), ("great", 1.0),
-              ("und", 0.125), ("que", -0.75), ("les", -1.0), ("this", 0.5), ("are", -0.125), ("by", -0.5)]
-SCORED = f"""lexicon(word, polarity) AS (VALUES {", ".join(f"('{w}', {p}::DOUBLE)" for w, p in POLARITIES)}),
+# Tenths, which no engine adds up without rounding, and a pair whose mean lies on the bound of a label.
+POLARITIES = [("with", 0.1), ("that", -0.1), ("it", 0.2), ("was", -0.3), ("free", 0.75), ("great", 1.0),
+              ("und", 0.1), ("que", -0.1), ("les", -0.2), ("this", 0.3), ("are", -0.05), ("by", -0.1)]
+SCORED = f"""lexicon(word, units) AS (VALUES {", ".join(f"('{w}', {round(p * sn.UNITS)}::BIGINT)" for w, p in POLARITIES)}),
 tokens AS (SELECT doc_id, unnest(regexp_split_to_array(lower({SQL_ALNUM}), '[{SQL_BLANKS}]+')) AS word FROM documents),
-found AS (SELECT doc_id, avg(polarity) AS s FROM tokens JOIN lexicon USING (word) GROUP BY doc_id),
+found AS (SELECT doc_id, CAST(sum(units) AS DOUBLE) / (count(*) * {float(sn.UNITS)}::DOUBLE) AS s
+  FROM tokens JOIN lexicon USING (word) GROUP BY doc_id),
 scored AS (SELECT d.doc_id AS book_id, doc_id % 50 AS user_id, source, quality AS rating, coalesce(s, 0.0::DOUBLE) AS sentiment_score
   FROM documents d LEFT JOIN labels USING (doc_id) LEFT JOIN found USING (doc_id)),
 labelled AS (SELECT *, CASE WHEN sentiment_score >= 0.1 THEN 'POSITIVE' WHEN sentiment_score <= -0.1 THEN 'NEGATIVE'
@@ -503,7 +519,8 @@ INSIGHTS = f"""{SCORED}, insights AS (
 
 def _scored(spark, sf, **options):
     lexicon = files.literal_rows(spark, POLARITIES, LEXICON)
-    return sn.score_reviews(tb.text_reviews(spark, sf, costly=True), lexicon, **options)
+    scored = sn.score_reviews(tb.unrated_reviews(spark, sf), lexicon, **options).drop("review_text")
+    return tb.rated(scored, spark, sf)
 
 
 def _insights(spark, sf):
@@ -517,6 +534,13 @@ def sentiment_scores(spark, sf):
     return _scored(spark, sf).select("book_id", "user_id", "source", "rating", "sentiment_score", "sentiment_label")
 
 
+@query(f"WITH {SCORED} SELECT * FROM labelled")
+def sentiment_scores_shuffled(spark, sf):
+    """The lexicon joined as a table too large to broadcast would be."""
+    return _scored(spark, sf, strategy="merge").select("book_id", "user_id", "source", "rating", "sentiment_score",
+                                                       "sentiment_label")
+
+
 @query(f"WITH {SCORED} SELECT sentiment_label, count(*) AS n FROM labelled GROUP BY 1")
 def sentiment_labels(spark, sf):
     return rp.label_counts(_scored(spark, sf), "sentiment_label", "n")
@@ -559,6 +583,11 @@ def support_filter_strict(spark, sf):
     return rt.support_filter(materialise(_deduped(spark, sf)), min_user=30, min_item=24)
 
 
+@query(SQL["support_filter"])
+def support_filter_salted(spark, sf):
+    return rt.support_filter(materialise(_deduped(spark, sf)), hot={"user_id": SPREAD, "book_id": SPREAD})
+
+
 INDEXED = f"""{_supported(5, 10)},
 users AS (SELECT user_id, CAST(row_number() OVER (ORDER BY count(*) DESC, user_id) - 1 AS INTEGER) AS user_idx
           FROM kept GROUP BY user_id),
@@ -611,7 +640,7 @@ def item_titles(spark, sf):
 
 @query()
 def keyword_clusters(spark, sf):
-    return clustering.keyword_clusters(tb.texts(spark, sf, costly=True), keywords=TERMS)[0]
+    return clustering.keyword_clusters(tb.texts(spark, sf), keywords=TERMS)[0]
 
 
 @query()
@@ -621,7 +650,7 @@ def feature_clusters(spark, sf):
 
 @query()
 def text_clusters(spark, sf):
-    return clustering.text_clusters(tb.texts(spark, sf, costly=True), k=8)[0]
+    return clustering.text_clusters(tb.texts(spark, sf), k=8)[0]
 
 
 @query()
@@ -633,7 +662,7 @@ def cluster_sizes(spark, sf):
   UNION ALL SELECT 'numbers', count(*) FROM rated""")
 def clustered_records(spark, sf):
     """Every record that has something to go by is in exactly one cluster."""
-    sizes = {"keywords": clustering.keyword_clusters(tb.texts(spark, sf, costly=True), keywords=TERMS)[0],
+    sizes = {"keywords": clustering.keyword_clusters(tb.texts(spark, sf), keywords=TERMS)[0],
              "numbers": clustering.feature_clusters(tb.rated_catalogue(spark, sf), k=8)[0]}
     totals = [clustering.cluster_sizes(frame).agg(F.sum("count").alias("records"))
               .select(F.lit(name).alias("clustering"), "records") for name, frame in sizes.items()]
@@ -642,12 +671,12 @@ def clustered_records(spark, sf):
 
 @query()
 def tfidf_features(spark, sf):
-    return clustering.tfidf_features(tb.texts(spark, sf, costly=True))[0].select("book_id", "title", F.col("features").cast("string"))
+    return clustering.tfidf_features(tb.texts(spark, sf))[0].select("book_id", "title", F.col("features").cast("string"))
 
 
 @query()
 def lda_topics(spark, sf):
-    return clustering.lda_topics(tb.texts(spark, sf, costly=True))[0]
+    return clustering.lda_topics(tb.texts(spark, sf))[0].select("book_id", "title", "topic", "weight")
 
 
 # ------------------------------------------------------------ files and index
@@ -660,6 +689,20 @@ def bulk_index_lines(spark, sf):
     return files.bulk_index_lines(tb.rated_catalogue(spark, sf), "catalogue")
 
 
-@query("SELECT count(*) AS row_count FROM documents")
+DOCUMENT_COLUMNS = (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                    ("n_chars", "bigint"))
+
+
+@query(" UNION ALL ".join(f"SELECT 'column' AS what, {i} AS position, '{c}' AS name, '{t}' AS value"
+                          for i, (c, t) in enumerate(DOCUMENT_COLUMNS))
+       + """ UNION ALL SELECT 'first', CAST(row_number() OVER (ORDER BY doc_id) - 1 AS INTEGER), CAST(doc_id AS VARCHAR), source
+  FROM (SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 5)
+  UNION ALL SELECT 'rows', 0, '', CAST(count(*) AS VARCHAR) FROM documents""")
 def profile_table(spark, sf):
-    return files.profile_table(tb.table(spark, sf, "documents"))[2]
+    """The columns with their types, the first five rows by id, and the row count, as one table."""
+    schema, head, count = files.profile_table(tb.table(spark, sf, "documents"), 5, key=["doc_id"])
+    columns = schema.selectExpr("'column' AS what", "position", "column AS name", "type AS value")
+    ranked = head.select("source", "doc_id", F.row_number().over(Window.orderBy("doc_id")).alias("n"))
+    first = ranked.selectExpr("'first' AS what", "n - 1 AS position", "string(doc_id) AS name", "source AS value")
+    total = count.selectExpr("'rows' AS what", "0 AS position", "'' AS name", "string(row_count) AS value")
+    return columns.unionByName(first).unionByName(total)

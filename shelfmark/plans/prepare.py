@@ -25,17 +25,22 @@ def run(spark: SparkSession, source: str, out: str, sample_rows: int = SAMPLE_RO
     books = files.read_parquet(spark, f"{out}/staged/books")
     reviews = files.read_parquet(spark, f"{out}/staged/reviews")
 
-    full = etl.reviews_with_books(reviews, books, hot=hot_keys(reviews, "book_id"))
-    files.write_parquet(etl.nlp_subset(full), f"{out}/nlp/parquet")
-    files.write_parquet(etl.rec_subset(full), f"{out}/recommender/parquet")
+    hot = hot_keys(reviews, "book_id")
+    for subset, needed, place in ((etl.nlp_subset, etl.with_text, "nlp"), (etl.rec_subset, etl.with_rating, "recommender")):
+        files.write_parquet(subset(etl.reviews_with_books(needed(reviews), books, hot=hot)), f"{out}/{place}/parquet")
     files.write_parquet(etl.eda_subset(books), f"{out}/eda/parquet")
 
     nlp = files.read_parquet(spark, f"{out}/nlp/parquet")
     eda = files.read_parquet(spark, f"{out}/eda/parquet")
-    files.export_sample(nlp, sample_rows, f"{out}/nlp/sample_json", key=["book_id", "user_id", "review_text"])
+    files.export_sample(nlp, sample_rows, f"{out}/nlp/sample_json", key=["book_id", "user_id"])
     files.export_sample(eda, sample_rows, f"{out}/eda/sample_json", key=["book_id"])
 
-    joined = full.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("joined reviews").alias("what"), "rows")
+    # The join's size follows from the counts of either side by book.
+    per_book = [side.filter("book_id IS NOT NULL").groupBy("book_id").agg(F.count(F.lit(1)).alias(name))
+                for side, name in ((reviews, "n_reviews"), (books, "n_books"))]
+    joined = per_book[0].join(per_book[1], "book_id").agg(
+        F.lit("joined reviews").alias("what"),
+        F.coalesce(F.sum(F.col("n_reviews") * F.col("n_books")), F.lit(0)).alias("rows"))
     # More rows than distinct keys among the books would multiply reviews.
     keys = key_uniqueness(books.filter(F.col("book_id").isNotNull()), "book_id")
     return joined.unionByName(keys.select(F.inline(F.array(

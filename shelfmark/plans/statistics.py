@@ -29,7 +29,7 @@ def text_reports(keywords: Sequence[str]) -> list[rp.Report]:
 
 
 def quartile_reports() -> list[rp.Report]:
-    """Kept apart: quantile sketches take an aggregate out of whole-stage codegen."""
+    """Kept apart: each needs another scan, for its quartiles."""
     return [cat.page_summary(), cat.engagement_summary()]
 
 

@@ -16,16 +16,6 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A stored or materialised frame over all cores, if it comes in fewer partitions than there are.
-
-    For work that costs far more than moving the rows: text scans and iterative
-    fits. A large table has more partitions than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -45,23 +35,25 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTyp
 
 # ------------------------------------------------------------------- samples
 
-def sample_rows(df: DataFrame, n: int, key: Sequence[str]) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, key: Sequence[str], place: Column | None = None) -> DataFrame:
     """``n`` rows picked by the hash of their key, or all when there are fewer.
 
-    The same rows come out on every run. On a large table a bound on the hash,
-    some four times as wide as needed, drops nearly everything inside the scan,
-    so the final top-n sees a few times ``n`` rows and not ``n`` from every task.
-    Should repeated keys leave fewer than ``n`` rows below it, the bound is not used.
+    The same rows come out on every run; rows with equal keys are told apart by all their
+    columns. Spark keeps ``n`` rows of each task. A bound on the hash, some four times as
+    wide as needed, drops nearly everything inside the scan first; should repeated keys
+    leave fewer than ``n`` rows below it, the bound is not used. ``place`` is a column of
+    own choice to pick by, smallest first.
     """
+    every = [F.col(c) for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    if place is not None:
+        return df.orderBy(place, *key, *every).limit(n)
     place = F.xxhash64(*key)
-    total = df.count()
-    wanted = 4 * n + 1000
-    if total > 4 * wanted:
-        bound = -HASH_SPAN // 2 + HASH_SPAN * wanted // total
+    bound = -HASH_SPAN // 2 + HASH_SPAN * (4 * n + 1000) // max(df.count(), 1)
+    if bound < HASH_SPAN // 2:
         below = df.filter(place < F.lit(bound))
-        if below.count() >= n:
+        if below.select(*key).count() >= n:
             df = below
-    return df.orderBy(place, *key).limit(n)
+    return df.orderBy(place, *key, *every).limit(n)
 
 
 def export_sample(df: DataFrame, n: int, path: str, key: Sequence[str] = (),
@@ -84,19 +76,34 @@ def bulk_index_lines(df: DataFrame, index: str, id_col: str = "book_id",
     return df.select(F.concat(action, F.lit("\n"), document).alias("value"))
 
 
-def write_bulk_lines(lines: DataFrame, path: str, docs_per_file: int = 500) -> None:
-    """Files of at most ``docs_per_file`` documents, each one bulk request body.
+def bulk_batches(lines: DataFrame, docs_per_batch: int = 500) -> DataFrame:
+    """(batch, documents, value): the lines of at most ``docs_per_batch`` documents as one request body.
 
-    500 documents are the 1,000 lines of a usual request. For very large indexes
-    raise it and cut the requests when posting, to keep the number of files down.
+    500 documents are the 1,000 lines of a usual request. A task numbers its own rows, so
+    batches are filled task by task and no row leaves its batch for another task's.
     """
-    lines.write.mode("overwrite").option("maxRecordsPerFile", docs_per_file).text(path)
+    number = F.monotonically_increasing_id()
+    rows = lines.select("value", F.spark_partition_id().alias("_part"), number.alias("_row"))
+    batch = F.concat_ws("-", "_part", F.floor((F.col("_row") - F.shiftleft(F.col("_part").cast("long"), 33))
+                                              / docs_per_batch))
+    return (rows.groupBy(batch.alias("batch"))
+            .agg(F.count(F.lit(1)).alias("documents"),
+                 F.array_sort(F.collect_list(F.struct("_row", "value"))).alias("_lines"))
+            .select("batch", "documents", F.array_join(F.transform("_lines", lambda r: r["value"]), "\n").alias("value")))
+
+
+def write_bulk_lines(lines: DataFrame, path: str, docs_per_batch: int = 500, docs_per_file: int | None = None) -> None:
+    """Bulk request bodies as JSON rows in files of normal size; or, with ``docs_per_file``, as text files to post."""
+    if docs_per_file:
+        lines.write.mode("overwrite").option("maxRecordsPerFile", docs_per_file).text(path)
+    else:
+        write_json(bulk_batches(lines, docs_per_batch), path)
 
 
 # ------------------------------------------------------------------ inspection
 
-def profile_table(df: DataFrame, n: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(columns with their types, the first ``n`` rows met, the row count)."""
+def profile_table(df: DataFrame, n: int = 5, key: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(columns with their types, the first ``n`` rows, by ``key`` if given, the row count)."""
     fields = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
     schema = literal_rows(df.sparkSession, fields, "position int, column string, type string, nullable boolean")
-    return schema, df.limit(n), df.agg(F.count(F.lit(1)).alias("row_count"))
+    return schema, (df.orderBy(*key) if key else df).limit(n), df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -7,8 +7,6 @@ documents the texts. Each view reads only the tables and columns it needs.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import hot_keys, skew_join
-from .files import spread
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -63,7 +61,7 @@ def shelves(spark: SparkSession, folder: str) -> DataFrame:
     nations = table(spark, folder, "nation").selectExpr("n_nationkey AS s_nationkey", "lower(n_name) AS name")
     return (skew_join(lines, suppliers, "s_suppkey")
             .groupBy("book_id", "s_nationkey").agg(F.expr("string(count(1)) AS count"))
-            .join(F.broadcast(nations), "s_nationkey")
+            .join(nations, "s_nationkey")
             .groupBy("book_id")
             .agg(F.expr("sort_array(collect_list(struct(count, name))) AS popular_shelves")))
 
@@ -81,7 +79,8 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey AS o_orderkey", "l_partkey AS book_id", f"{RATING} AS rating", "l_linenumber AS n_votes")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return skew_join(lines, orders, "o_orderkey").selectExpr(
+    # An order has a few lines: its key is never hot.
+    return skew_join(lines, orders, "o_orderkey", hot={}).selectExpr(
         "book_id", "o_custkey AS user_id", "rating", "n_votes",
         "string(date(o_orderdate)) AS date_added")
 
@@ -98,18 +97,20 @@ def titled_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return skew_join(given, titles, "book_id", hot=hot_books(spark, folder))
 
 
-def texts(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
-    """Documents as described books; over all cores when the work on them is ``costly``."""
-    documents = table(spark, folder, "documents").select(
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as described books."""
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("book_id"), F.col("source").alias("title"), F.col("text").alias("description"))
-    return spread(documents) if costly else documents
 
 
-def text_reviews(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
-    """Documents as reviews of the part with their number, rated by their label."""
-    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("rating"))
-    documents = table(spark, folder, "documents").select("doc_id", "source", "text", "n_chars")
-    return ((spread(documents) if costly else documents)
-            .join(labels, "doc_id", "left")
-            .select(F.col("doc_id").alias("book_id"), (F.col("doc_id") % 50).alias("user_id"),
-                    F.col("text").alias("review_text"), "rating", F.col("n_chars").alias("n_votes"), "source"))
+def unrated_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as reviews of the part with their number."""
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("book_id"), (F.col("doc_id") % 50).alias("user_id"),
+        F.col("text").alias("review_text"), F.col("n_chars").alias("n_votes"), "source")
+
+
+def rated(reviews: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews with the label of their document as ``rating``; take only the columns needed there."""
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("book_id"), F.col("quality").alias("rating"))
+    return reviews.join(labels, "book_id", "left")

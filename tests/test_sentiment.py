@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -46,9 +47,9 @@ def test_words(spark):
     assert [r[0] for r in df.select(words(F.col("t"))).collect()] == [["a", "b", "c"], []]
 
 
-@pytest.mark.parametrize("max_inline", [1000, 1], ids=["inline", "joined"])
-def test_scores(texts, lexicon, max_inline):
-    scored = sn.score_reviews(texts, lexicon, max_inline=max_inline)
+@pytest.mark.parametrize("strategy", [None, "merge"], ids=["broadcast", "shuffled"])
+def test_scores(texts, lexicon, strategy):
+    scored = sn.score_reviews(texts, lexicon, strategy=strategy)
     assert scored.columns == ["id", "review_text", "sentiment_score", "sentiment_label"]
     got = {r["id"]: r["sentiment_score"] for r in scored.collect()}
     assert got == pytest.approx({i: expected(t) for i, t in TEXTS})
@@ -57,9 +58,23 @@ def test_scores(texts, lexicon, max_inline):
 def test_both_ways_agree_on_copies(spark, lexicon):
     copies = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, F.lit("good bad good"))
                                      .otherwise(F.concat(F.lit("bad "), F.col("id") % 7)).alias("review_text"))
-    inline = sn.score_reviews(copies, lexicon)
-    joined = sn.score_reviews(copies, lexicon, max_inline=0)
-    assert sorted(map(repr, inline.collect())) == sorted(map(repr, joined.collect()))
+    small = sn.score_reviews(copies, lexicon)
+    large = sn.score_reviews(copies, lexicon, strategy="merge")
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+
+
+def test_order_changes_no_bit(spark):
+    """Tenths add up to another double in another order; units do not."""
+    words = {"a": 0.1, "b": 0.2, "c": 0.3, "d": -0.2, "e": 0.05}
+    lexicon = spark.createDataFrame(list(words.items()), LEXICON)
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices("abcdef", k=rng.randint(1, 60)))) for i in range(800)]
+    rows += [(900, "a a a"), (901, "d a e"), (902, " ".join("aaaaaaaaa")), (903, "a c d b")]
+    texts = spark.createDataFrame(rows, "id int, review_text string").repartition(7)
+    small, large = ({r["id"]: (r["sentiment_score"], r["sentiment_label"]) for r in
+                     sn.score_reviews(texts, lexicon, strategy=strategy).collect()} for strategy in (None, "merge"))
+    assert small == large
+    assert small[900] == small[902] == small[903] == (0.1, "POSITIVE")
 
 
 def test_long_texts_are_read_to_the_end(spark, lexicon):
