@@ -1,6 +1,6 @@
 """SimHash near-duplicates, found through an inverted index of the fingerprints' bytes."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -11,32 +11,38 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..checkpoints import materialise
 from .graph import components
 
+#: Which of several marks are like a given one.
+Like = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
 BYTES = 8
 #: Fingerprints of one posting list that one task compares; longer lists are compared block by block.
 BLOCK = 4096
 SEED = 42
 
 
-def shingle_fingerprint(text: str | None, size: int = 3) -> int:
-    """The 64-bit SimHash of a text's word shingles: bit by bit, what over half of their hashes have.
+def shingle_hashes(text: str | None, size: int = 3) -> np.ndarray:
+    """XXH64 of the UTF-8 of a text's word shingles, in their order, repeats included.
 
-    Words are runs without ASCII white space, A to Z in lower case; shingles are ``size``
-    words joined by spaces, repeats included, or all words when there are fewer. Hashes
-    are XXH64 of UTF-8. No words give zero.
+    Words are runs without ASCII white space, A to Z in small letters; shingles are
+    ``size`` words joined by spaces, or all words when there are fewer.
     """
     from xxhash import xxh64_intdigest
 
     # bytes.lower and bytes.split know ASCII alone, which is what is asked for.
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends[:-1].tolist()]
-    last = max(len(words) - size, 0)
+    starts = [0, *ends[:-1].tolist()][:max(len(words) - size, 0) + 1]
     ends = ends[min(size, len(words)) - 1:] - 1
-    hashes = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:last + 1], ends.tolist())],
-                      dtype="<u8")
+    return np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends.tolist())], dtype="<u8")
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The 64-bit SimHash: bit by bit, what over half of the hashes have; zero for none."""
+    if not len(hashes):
+        return 0
     # Bits are counted some thousand shingles at a time, so a long text takes no more memory.
     ones = sum(np.unpackbits(hashes[k:k + 8192].view(np.uint8).reshape(-1, BYTES), axis=1, bitorder="little")
                .sum(axis=0, dtype=np.int64) for k in range(0, len(hashes), 8192))
@@ -44,10 +50,11 @@ def shingle_fingerprint(text: str | None, size: int = 3) -> int:
 
 
 def fingerprint(text: Column, size: int = 3) -> Column:
-    """``shingle_fingerprint`` of a column, as a signed long."""
+    """The SimHash of a column's texts, as a signed long."""
     @F.pandas_udf(T.LongType())
     def hashed(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([shingle_fingerprint(t, size) for t in texts], dtype=np.uint64).view(np.int64))
+        prints = [majority_bits(shingle_hashes(t, size)) for t in texts]
+        return pd.Series(np.array(prints, dtype=np.uint64).view(np.int64))
     return hashed(text)
 
 
@@ -72,38 +79,68 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
     kept of byte sets of which every pair with enough shared bytes has one (``byte_sets``).
     Within a list, a pair's shared bytes are tallied, pairs below 8 - ``bits`` dropped, and
     the others verified by their bits.
-
-    A list gives no more links than it has fingerprints: those of a spanning forest of its
-    pairs, which join the same fingerprints. A list longer than ``BLOCK`` is split by a hash
-    into blocks, and every two blocks are compared by a task of their own.
     """
     shared = BYTES - bits
     sets = byte_sets(shared)
-    postings = materialise(prints.select("print", F.posexplode(F.array(*[
+    postings = materialise(prints.select(F.col("print").alias("node"), F.posexplode(F.array(*[
         F.col("print").bitwiseAND(F.lit(_mask(s))) for s in sets])).alias("set", "value")))
-    long_lists = postings.groupBy("set", "value").count().filter(F.col("count") > BLOCK).select(
-        "set", "value", F.ceil(F.col("count") * 1.25 / BLOCK).cast("int").alias("blocks"))
-    dealt = postings.join(long_lists, ["set", "value"], "left")
-    own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")
+
+    def like(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+        differing = others ^ one
+        close = (differing.view(np.uint8).reshape(len(others), BYTES) == 0).sum(axis=1) >= shared
+        close[close] = np.bitwise_count(differing[close]) <= bits
+        return close
+
+    return _spanning_links(postings, like)
+
+
+def _spanning_links(postings: DataFrame, like: Like, marks: DataFrame | None = None) -> DataFrame:
+    """(a, b): links between nodes of a list (``set``, ``value``) that are ``like`` each other, spanning what they join.
+
+    A list gives no more links than it has nodes. One longer than ``BLOCK`` is split by a
+    hash into blocks, and every two blocks are compared by a task of their own. Nodes are
+    compared by themselves, or by their ``marks`` (node, bytes).
+    """
+    counts = postings.groupBy("set", "value").count()
+    # Left out: nodes that are alone in their list.
+    shared = counts.filter("count > 1").select("set", "value", F.when(F.col("count") > BLOCK, F.ceil(
+        F.col("count") * 1.25 / BLOCK)).cast("int").alias("blocks"))
+    dealt = postings.join(shared, ["set", "value"])
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # Block i meets every block j: as the first of the two where i <= j, else as the second.
     meets = F.when(F.col("blocks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
                     lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"))))
-    spread = dealt.select("print", "set", "value", F.explode(meets).alias("pair"))
+    spread = dealt.select("node", "set", "value", F.explode(meets).alias("pair"))
     keys = ["set", "value", "i", "j"]
-    lists = (spread.select("print", "set", "value", "pair.i", "pair.j").repartition(*keys)
-             .sortWithinPartitions(*keys))
+    lists = spread.select("node", "set", "value", "pair.i", "pair.j")
+    by_marks = marks is not None
+    if by_marks:
+        lists = lists.join(marks, "node")
+    lists = lists.repartition(*keys).sortWithinPartitions(*keys)
+
+    def forests(rows: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+        nodes = rows["node"].to_numpy()
+        found = []
+        for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            compared = (np.frombuffer(b"".join(rows["mark"].iloc[begin:end]), np.uint8).reshape(end - begin, -1)
+                        if by_marks else nodes[begin:end].view(np.uint64))
+            found += [(nodes[begin + a], nodes[begin + b]) for a, b in forest(compared, like)]
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.DataFrame(columns=["print", *keys])
+        held = None
         for batch in batches:
-            batch = pd.concat([held, batch], ignore_index=True) if len(held) else batch
-            change = (batch[keys].to_numpy()[1:] != batch[keys].to_numpy()[:-1]).any(axis=1)
-            cuts = np.concatenate([[0], np.flatnonzero(change) + 1])
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(batch):
+                continue
+            of = batch[keys].to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero((of[1:] != of[:-1]).any(axis=1)) + 1])
+            yield forests(batch, cuts)
             held = batch.iloc[cuts[-1]:]        # the list may go on in the next batch
-            yield _forests(batch["print"].to_numpy()[:cuts[-1]], cuts, bits, shared)
-        if len(held):
-            yield _forests(held["print"].to_numpy(), np.array([0, len(held)]), bits, shared)
+        if held is not None:
+            yield forests(held, np.array([0, len(held)]))
 
     return lists.mapInPandas(compare, "a long, b long").distinct()
 
@@ -112,29 +149,34 @@ def _mask(positions: tuple[int, ...]) -> int:
     return int(np.array([sum(0xFF << 8 * p for p in positions)], dtype=np.uint64).view(np.int64)[0])
 
 
-def _forests(prints: np.ndarray, cuts: np.ndarray, bits: int, shared: int) -> pd.DataFrame:
-    found = [_forest(prints[begin:end].view(np.uint64), bits, shared)
-             for begin, end in zip(cuts[:-1], cuts[1:]) if end - begin > 1]
-    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
-    return pd.DataFrame({"a": pairs[:, 0].view(np.int64), "b": pairs[:, 1].view(np.int64)})
-
+def forest(marks: np.ndarray, like: Like, pivots: int = 16) -> list[tuple[int, int]]:
+    """Pairs (earlier, later) that join all the marks of a list that are ``like`` each other.
 
-def _forest(prints: np.ndarray, bits: int, shared: int) -> np.ndarray:
-    """Pairs (first met, later) that span the groups of linked fingerprints of a list."""
-    prints = np.ascontiguousarray(prints)
-    root = np.arange(len(prints))
-    found = []
-    for k in range(1, len(prints)):
-        differing = prints[:k] ^ prints[k]
-        tally = (differing.view(np.uint8).reshape(k, BYTES) == 0).sum(axis=1)
-        close = np.flatnonzero(tally >= shared)
-        close = close[np.bitwise_count(differing[close]) <= bits]
-        near = np.unique(root[close])
-        if len(near):
-            found += [(prints[r], prints[k]) for r in near]
-            root[:k + 1][np.isin(root[:k + 1], near)] = near[0]
-            root[k] = near[0]
-    return np.array(found, dtype=np.uint64).reshape(-1, 2)
+    A mark is compared with a few that were like many before it, then with all that are
+    not yet joined to it: within a group of copies that is few, and no pair that could
+    join two groups is passed over.
+    """
+    root, found = np.arange(len(marks)), []
+    hits: dict[int, int] = {}
+    for k in range(1, len(marks)):
+        some = np.fromiter(hits, np.int64, len(hits))
+        near = some[like(marks[k], np.ascontiguousarray(marks[some]))] if len(some) else some
+        for p in near.tolist():
+            hits[p] += 1
+        rest = np.flatnonzero(~np.isin(root[:k], root[near])) if len(near) else np.arange(k)
+        others = rest[like(marks[k], np.ascontiguousarray(marks[rest]))]
+        if len(others):
+            hits[int(others[0])] = hits.get(int(others[0]), 0) + 1
+            if len(hits) > pivots:
+                del hits[min(hits, key=hits.get)]
+        _, first = np.unique(root[np.concatenate([near, others])], return_index=True)
+        joined = np.concatenate([near, others])[first]
+        if len(joined):
+            found += [(int(j), k) for j in joined]
+            groups = root[joined]
+            root[:k][np.isin(root[:k], groups)] = groups[0]
+            root[k] = groups[0]
+    return found
 
 
 def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, text: str = "text",
@@ -172,27 +214,97 @@ def _labelled(kept: DataFrame, roots: DataFrame) -> DataFrame:
     return kept.join(named, F.col("print") == F.col("_print")).drop("_print")
 
 
-def keep_one(docs: DataFrame, bits: int = 3, shingle: int = 5, text: str = "text",
-             doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without near-duplicates: of each component the row with the smallest id stays.
+# ------------------------------------------------------- copies beyond a few differing bits
+
+#: Bytes of a signature, of which BANDS times ROWS make the keys that candidates share.
+POSITIONS, BANDS, ROWS = 256, 24, 5
+#: A signature's share of equal bytes strays from the similarity by this much on average.
+STRAY = 0.025
+_STIRS = np.random.default_rng(2).integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_KEYS = np.random.default_rng(3).integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def byte_signature(hashes: np.ndarray) -> tuple[bytes, list[int]]:
+    """(signature, keys) of a set of shingles: by each of many stirrings, a byte of the smallest hash.
+
+    Two sets agree in a position as often as they share shingles: the share of equal bytes
+    estimates their similarity (Jaccard). Each key is a digest of ``ROWS`` positions.
+    """
+    least = np.full(POSITIONS, np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(hashes), 1024):
+        least = np.minimum(least, (hashes[k:k + 1024, None] * _STIRS).min(axis=0))
+    high = least >> np.uint64(32)
+    mixed = (high[:BANDS * ROWS].reshape(BANDS, ROWS) * _KEYS).sum(axis=1, dtype=np.uint64)
+    return (high & np.uint64(0xFF)).astype(np.uint8).tobytes(), mixed.view(np.int64).tolist()
+
+
+def copy_groups(marked: DataFrame, similarity: float, bits: int) -> DataFrame:
+    """(node, root) of texts linked to others, from ``marked`` (node, print, mark, keys), a row for each text.
+
+    Texts are linked if their fingerprints differ in at most ``bits`` bits, or if their
+    signatures share as many bytes as ``similarity`` makes them: a second inverted index,
+    of the keys, brings such pairs together, their equal bytes are tallied in the lists,
+    and pairs below the number are dropped. A pair of similarity 0.8 shares a key but once
+    in 10,000.
+    """
+    reps = materialise(marked.groupBy("print").agg(F.min("node").alias("rep")))
+    same = marked.join(reps, "print").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    near = links(reps.select("print"), bits)
+    for side in ("a", "b"):
+        near = near.join(reps.select(F.col("print").alias(side), F.col("rep").alias(f"{side}_rep")), side)
+    near = near.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
 
-    NULL ids come last. Rows with equal ids are told apart by a hash of the whole row, and
-    of rows that agree in everything one stays.
+    least = round(POSITIONS * (similarity - STRAY + (1 - similarity + STRAY) / 256))
+
+    def like(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+        return (others == one).sum(axis=1) >= least
+
+    postings = materialise(marked.select("node", F.posexplode("keys").alias("set", "value")))
+    alike = _spanning_links(postings, like, marked.select("node", "mark"))
+    return materialise(components(same.union(near).union(alike)))
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 3, text: str = "text",
+             doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` without near-duplicates: of each group the row with the smallest id stays.
+
+    Documents are near-duplicates if their fingerprints are linked, or if about
+    ``similarity`` of their word shingles agree (``copy_groups``): fingerprints of texts
+    that share 0.8 of their shingles differ in some ten bits, far beyond what an index of
+    eight bytes can find. Texts without words are copies of each other. NULL ids come
+    last; rows with equal ids are told apart by a hash of the whole row, and of rows that
+    agree in everything one stays.
     """
     row = F.xxhash64(*[F.col(f"`{c}`").cast("string") if t.startswith("map") else F.col(f"`{c}`")
                        for c, t in docs.dtypes])
-    kept = materialise(docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"),
-                                   fingerprint(F.col(text), shingle).alias("print")))
-    roots = fingerprint_components(kept, bits)
+
+    @F.pandas_udf("node long, print long, mark binary, keys array<long>")
+    def marks(texts: pd.Series) -> pd.DataFrame:
+        from xxhash import xxh64_intdigest
+
+        made = []
+        for body in texts:
+            hashes = shingle_hashes(body, shingle)
+            node = xxh64_intdigest(b" ".join((body or "").encode("utf-8", "replace").lower().split()), SEED)
+            made.append((node, majority_bits(hashes), *byte_signature(hashes)))
+        frame = pd.DataFrame(made, columns=["node", "print", "mark", "keys"])
+        for column in ("node", "print"):
+            frame[column] = frame[column].to_numpy(dtype=np.uint64).view(np.int64)
+        return frame
+
+    kept = materialise(docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), marks(F.col(text)).alias("of"))
+                       .select("doc_id", "row", "of.*"))
+    marked = materialise(kept.select("node", "print", "mark", "keys").dropDuplicates(["node"]))
+    roots = copy_groups(marked, similarity, bits)
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    by_print = kept.groupBy("print").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("rows"))
-    by_root = by_print.join(roots, F.col("print") == F.col("node"), "left").groupBy(
-        F.coalesce("root", "print").alias("root")).agg(F.min("first").alias("first"))
+    by_text = kept.groupBy("node").agg(F.min(first).alias("first"))
+    by_root = by_text.join(roots, "node", "left").groupBy(
+        F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     stay = materialise(by_root.select(F.col("first.doc_id").alias("_stay_id"), F.col("first.row").alias("_stay_row")))
-    survivors = docs.withColumn("_row", row).join(
-        stay, F.col(doc_id).eqNullSafe(F.col("_stay_id")) & (F.col("_row") == F.col("_stay_row")), "left_semi")
+    survivors = docs.withColumn("_row_hash", row).join(
+        stay, F.col(doc_id).eqNullSafe(F.col("_stay_id")) & (F.col("_row_hash") == F.col("_stay_row")), "left_semi")
     again = kept.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col("row") == F.col("_stay_row")),
                       "left_semi").groupBy("doc_id", "row").count().filter("count > 1")
     if not again.isEmpty():
-        survivors = survivors.dropDuplicates([doc_id, "_row"])
-    return survivors.drop("_row")
+        survivors = survivors.dropDuplicates([doc_id, "_row_hash"])
+    return survivors.drop("_row_hash")

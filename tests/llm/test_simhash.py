@@ -1,3 +1,4 @@
+import random
 import re
 from itertools import combinations
 
@@ -18,7 +19,7 @@ def slow_print(text):
 def smallest_reachable(prints, values):
     """Per row, the least value over its component; values may be None."""
     near = np.bitwise_count(prints[:, None] ^ prints[None]) <= 3
-    top = 1 << 62
+    top = (1 << 63) - 1
     label = np.array([top if v is None else v for v in values])
     while True:
         new = np.where(near, label[None], top).min(axis=1)
@@ -55,14 +56,66 @@ def test_links_lose_no_component(spark, monkeypatch):
         assert [got.get(p, p) for p in prints.view(np.int64).tolist()] == want
 
 
+def test_forest_joins_what_is_linked():
+    rng = np.random.default_rng(0)
+    centres = rng.integers(0, 2 ** 63, 6, dtype=np.uint64)
+    flips = rng.integers(0, 64, (500, 3), dtype=np.uint64)
+    prints = np.unique(centres[rng.integers(0, 6, 500)] ^ np.bitwise_or.reduce(np.uint64(1) << flips, axis=1))
+    rng.shuffle(prints)
+    pairs = simhash.forest(prints, lambda one, others: np.bitwise_count(others ^ one) <= 3)
+    assert len(pairs) < len(prints)
+    root = list(range(len(prints)))
+    for a, b in pairs:
+        assert np.bitwise_count(prints[a] ^ prints[b]) <= 3
+        old, new = root[b], root[a]
+        root = [new if r == old else r for r in root]
+    want = smallest_reachable(prints, list(range(len(prints))))
+    assert len(set(zip(root, want))) == len(set(root)) == len(set(want))
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_signatures_estimate_the_similarity():
+    rng = np.random.default_rng(1)
+    for share in (0.5, 0.8, 0.95):
+        both, own = rng.integers(0, 2 ** 63, int(1000 * share), dtype=np.uint64), int(1000 * (1 - share) / 2)
+        a, b = (np.concatenate([both, rng.integers(0, 2 ** 63, own, dtype=np.uint64)]) for _ in range(2))
+        one, other = (np.frombuffer(simhash.byte_signature(x)[0], np.uint8) for x in (a, b))
+        assert abs((one == other).mean() - share) < 0.08
+
+
+def test_near_copies_go_and_others_stay(spark):
+    """Copies with a few words changed, against the true similarity of every pair."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(80, 400))) for _ in range(60)]
+    for base in texts[:30]:
+        for changes in (1, 2, 4, 60):
+            copy = base.split()
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = "changed" + str(rng.random())
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in simhash.keep_one(docs).collect()}
+    sets = [shingles(t) for t in texts]
+    for i, own in enumerate(sets):
+        like = [len(own & s) / len(own | s) for s in sets[:i]]
+        if i not in kept:
+            assert max(like) >= 0.7
+        elif i >= 60:
+            assert max(like) < 0.84
+
+
 def test_one_of_each_group_stays(spark, awkward):
-    kept = simhash.keep_one(awkward, shingle=3)
+    kept = simhash.keep_one(awkward)
     assert kept.columns == awkward.columns
     got = kept.collect()
-    roots = simhash.near_duplicates(awkward).select("component_id").distinct().count()
-    assert len(got) == roots
     assert [r["doc_id"] for r in got].count(3) == 1         # repeated rows: one
     assert [r["doc_id"] for r in got if r["text"] == "the same text again and again"] == [200]
+    assert [r["doc_id"] for r in got if not (r["text"] or "").split()] == [42]      # no words: one text
 
 
 def test_empty_table(nothing):
