@@ -346,12 +346,16 @@ def _find(root: Node, tag: str) -> Iterator[Node]:
         stack += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
+#: A tag that the page ends within.
+_UNCLOSED = re.compile(r"<[A-Za-z/!][^<>]*\Z")
+
+
 def extract(html: str | None) -> tuple[str | None, str]:
     """(title, text) of a page; the title is None where there is none."""
     if not html:
         return None, ""
     builder = TreeBuilder()
-    builder.feed(html)
+    builder.feed(_UNCLOSED.sub("", html))
     builder.close()
     css = "\n".join("".join(c for c in node.children if isinstance(c, str)) for node in _find(builder.root, "style"))
     title = next((SPACES.sub(" ", "".join(c for c in node.children if isinstance(c, str))).strip()

@@ -75,7 +75,11 @@ def _widened(df: DataFrame, added: str) -> str:
     return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [added])
 
 
-def write_shards(docs: DataFrame, path: str, shards: int, order: Sequence[str] = ("doc_id",)) -> None:
-    """All columns of ``docs`` as Parquet, a folder for each shard."""
-    cut = cut_shards(docs, shards, order, keep=docs.columns)
-    cut.select(*docs.columns, F.col("shard").alias("_shard")).write.partitionBy("_shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int, order: Sequence[str] = ("doc_id",),
+                 text: str = "text", folder: str = "_shard") -> None:
+    """All columns of ``docs`` as Parquet, a folder ``folder``=number for each shard."""
+    # Other names for the while, as those of the result may be among them.
+    names = {c: f"column{i}" for i, c in enumerate(docs.columns)}
+    cut = cut_shards(docs.toDF(*names.values()), shards, [names[c] for c in order], names[text], keep=names.values())
+    rows = cut.select(*[F.col(new).alias(old) for old, new in names.items()], F.col("shard").alias(folder))
+    rows.write.partitionBy(folder).parquet(path)
