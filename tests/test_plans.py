@@ -125,7 +125,10 @@ def test_index_lines(spark, tmp_path):
     books = spark.createDataFrame(rows, "book_id string, title string, average_rating double, similar_books array<string>")
     books = books.withColumn("description", F.lit("d"))
     books.coalesce(1).write.parquet(str(tmp_path / "books"))
-    index.run(spark, str(tmp_path / "books"), str(tmp_path / "bulk"), "shop")
+    index.run(spark, str(tmp_path / "books"), str(tmp_path / "bodies"), "shop")
+    bodies = spark.read.json(str(tmp_path / "bodies")).collect()
+    assert sorted(b["documents"] for b in bodies) == [203, 500, 500]
+    index.run(spark, str(tmp_path / "books"), str(tmp_path / "bulk"), "shop", docs_per_file=500)
     seen = {}
     for name in os.listdir(tmp_path / "bulk"):
         if not name.startswith("part-"):
