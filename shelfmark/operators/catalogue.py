@@ -13,6 +13,11 @@ from . import reports as rp
 from .filters import has_items_sql, has_text_sql
 from .reports import name
 
+# ---- fixed values: labels of the splits into two; the titles below are fixed as well ----
+SERIES_SPLIT = ("Books in Series", "Standalone Books")
+SHELVES_SPLIT = ("Books with Shelves", "Books without Shelves")
+SIMILAR_SPLIT = ("Books with Similar Books", "Books without Similar Books")
+
 
 def missing_values() -> rp.Report:
     return rp.missing("missing", text=["description"], arrays=["authors", "popular_shelves"],
@@ -32,7 +37,7 @@ def page_distribution(column: str = "num_pages", ladder=ladders.PAGES) -> rp.Rep
 
 
 def series_split(column: str = "series") -> rp.Report:
-    return rp.presence("series_split", has_items_sql(name(column)), "Books in Series", "Standalone Books")
+    return rp.presence("series_split", has_items_sql(name(column)), *SERIES_SPLIT)
 
 
 def series_distribution(column: str = "series", ladder=ladders.SERIES) -> rp.Report:
@@ -68,7 +73,7 @@ def quality_matrix(rating: str = "average_rating", count: str = "ratings_count",
 
 
 def shelves_split(column: str = "popular_shelves") -> rp.Report:
-    return rp.presence("shelves_split", has_items_sql(name(column)), "Books with Shelves", "Books without Shelves")
+    return rp.presence("shelves_split", has_items_sql(name(column)), *SHELVES_SPLIT)
 
 
 def shelves_distribution(column: str = "popular_shelves", ladder=ladders.SHELVES) -> rp.Report:
@@ -82,7 +87,7 @@ def average_shelves(column: str = "popular_shelves") -> rp.Report:
 
 def similar_split(column: str = "similar_books") -> rp.Report:
     return rp.presence("similar_split", has_items_sql(name(column)),
-                       "Books with Similar Books", "Books without Similar Books")
+                       *SIMILAR_SPLIT)
 
 
 def similar_distribution(column: str = "similar_books", ladder=ladders.SIMILAR) -> rp.Report:
