@@ -125,9 +125,9 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
     for i, (start, end) in enumerate(spans):
         if _SIGNAL.search(text, start, end):
             begin = max(i - REACH, upto)
-            if not runs or begin > upto or not upto:
+            if not runs or begin > upto:
                 runs.append([])
-            runs[-1] += spans[begin:i + REACH + 1] if begin <= i + REACH else []
+            runs[-1] += spans[begin:i + REACH + 1]
             upto = i + REACH + 1
     return runs
 
