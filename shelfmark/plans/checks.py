@@ -497,7 +497,7 @@ SQL_LETTERS = r"lower(regexp_replace(text, '[^a-zA-Z\t-\r ]', '', 'g'))"
 @query(f"SELECT doc_id, {SQL_ALNUM} AS alnum, {SQL_LETTERS} AS letters FROM documents")
 def clean_text(spark, sf):
     text = F.col("description")
-    return tb.texts(spark, sf).select(
+    return tb.texts(spark, sf, costly=True).select(
         F.col("book_id").alias("doc_id"), alnum_only(text).alias("alnum"), letters_only(text).alias("letters"))
 
 
@@ -519,7 +519,7 @@ INSIGHTS = f"""{SCORED}, insights AS (
 
 def _scored(spark, sf, **options):
     lexicon = files.literal_rows(spark, POLARITIES, LEXICON)
-    scored = sn.score_reviews(tb.unrated_reviews(spark, sf), lexicon, **options).drop("review_text")
+    scored = sn.score_reviews(tb.unrated_reviews(spark, sf, costly=True), lexicon, **options).drop("review_text")
     return tb.rated(scored, spark, sf)
 
 
@@ -640,7 +640,7 @@ def item_titles(spark, sf):
 
 @query()
 def keyword_clusters(spark, sf):
-    return clustering.keyword_clusters(tb.texts(spark, sf), keywords=TERMS)[0]
+    return clustering.keyword_clusters(tb.texts(spark, sf, costly=True), keywords=TERMS)[0]
 
 
 @query()
@@ -650,7 +650,7 @@ def feature_clusters(spark, sf):
 
 @query()
 def text_clusters(spark, sf):
-    return clustering.text_clusters(tb.texts(spark, sf), k=8)[0]
+    return clustering.text_clusters(tb.texts(spark, sf, costly=True), k=8)[0]
 
 
 @query()
@@ -662,7 +662,7 @@ def cluster_sizes(spark, sf):
   UNION ALL SELECT 'numbers', count(*) FROM rated""")
 def clustered_records(spark, sf):
     """Every record that has something to go by is in exactly one cluster."""
-    sizes = {"keywords": clustering.keyword_clusters(tb.texts(spark, sf), keywords=TERMS)[0],
+    sizes = {"keywords": clustering.keyword_clusters(tb.texts(spark, sf, costly=True), keywords=TERMS)[0],
              "numbers": clustering.feature_clusters(tb.rated_catalogue(spark, sf), k=8)[0]}
     totals = [clustering.cluster_sizes(frame).agg(F.sum("count").alias("records"))
               .select(F.lit(name).alias("clustering"), "records") for name, frame in sizes.items()]
@@ -671,12 +671,12 @@ def clustered_records(spark, sf):
 
 @query()
 def tfidf_features(spark, sf):
-    return clustering.tfidf_features(tb.texts(spark, sf))[0].select("book_id", "title", F.col("features").cast("string"))
+    return clustering.tfidf_features(tb.texts(spark, sf, costly=True))[0].select("book_id", "title", F.col("features").cast("string"))
 
 
 @query()
 def lda_topics(spark, sf):
-    return clustering.lda_topics(tb.texts(spark, sf))[0].select("book_id", "title", "topic", "weight")
+    return clustering.lda_topics(tb.texts(spark, sf, costly=True))[0].select("book_id", "title", "topic", "weight")
 
 
 # ------------------------------------------------------------ files and index

@@ -16,6 +16,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A stored frame over all cores, if it comes in fewer partitions than there are.
+
+    For work on each text by itself, which costs far more than moving a few texts and
+    gives the same rows wherever it runs. A large table has more partitions than cores
+    and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

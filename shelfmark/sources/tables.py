@@ -7,6 +7,7 @@ documents the texts. Each view reads only the tables and columns it needs.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import hot_keys, skew_join
+from .files import spread
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -97,17 +98,19 @@ def titled_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return skew_join(given, titles, "book_id", hot=hot_books(spark, folder))
 
 
-def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as described books."""
-    return table(spark, folder, "documents").select(
+def texts(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """Documents as described books; over all cores when the work on each text is ``costly``."""
+    documents = table(spark, folder, "documents").select(
         F.col("doc_id").alias("book_id"), F.col("source").alias("title"), F.col("text").alias("description"))
+    return spread(documents) if costly else documents
 
 
-def unrated_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as reviews of the part with their number."""
-    return table(spark, folder, "documents").select(
+def unrated_reviews(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """Documents as reviews of the part with their number; over all cores when the work on each text is ``costly``."""
+    documents = table(spark, folder, "documents").select(
         F.col("doc_id").alias("book_id"), (F.col("doc_id") % 50).alias("user_id"),
         F.col("text").alias("review_text"), F.col("n_chars").alias("n_votes"), "source")
+    return spread(documents) if costly else documents
 
 
 def rated(reviews: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
