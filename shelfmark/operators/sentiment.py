@@ -45,7 +45,9 @@ def sentiment_score(df: DataFrame, text: str, lexicon: DataFrame, replacement: s
     small = strategy is None and fits_a_broadcast(units)
     common = {} if small else hot_keys(
         df.sample(fraction=SAMPLED_TEXTS, seed=17).select(F.explode(cleaned).alias("word")), "word", sample=1.0)
-    tokens = df.select(digest, F.explode(cleaned).alias("word"))
+    # The digest first: beside the explode it would be worked out again for every word. The
+    # outer explode, because for the other Spark splits every text once more to see whether it is empty.
+    tokens = df.select(digest, cleaned.alias("_words")).select("_digest", F.explode_outer("_words").alias("word"))
     found = skew_join(tokens, units.hint(strategy) if strategy else units, "word", hot=common)
     # Copies are counted alike, so a text's sum over all of them has the same mean.
     scores = found.groupBy("_digest").agg(

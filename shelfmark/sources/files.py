@@ -2,7 +2,9 @@
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 HASH_SPAN = 2 ** 64
 
@@ -40,8 +42,10 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A small frame from Python rows: a lexicon, a metrics line."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small frame from Python rows: a lexicon, a metrics line. Through Arrow, so that Spark knows its size."""
+    types = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    named = [dict(zip(types.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(named, schema=to_arrow_schema(types)), types)
 
 
 # ------------------------------------------------------------------- samples
