@@ -13,6 +13,8 @@ from .graph import components
 
 #: Which of several marks are like a given one.
 Like = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: For the rows of a list, what stands for each of them, and which of those are like each other.
+Compared = Callable[[pd.DataFrame], tuple[np.ndarray, Like]]
 
 BYTES = 8
 #: Fingerprints of one posting list that one task compares; longer lists are compared block by block.
@@ -91,20 +93,22 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
         close[close] = np.bitwise_count(differing[close]) <= bits
         return close
 
-    return _spanning_links(postings, like)
+    return _spanning_links(postings, lambda rows: (rows["node"].to_numpy().view(np.uint64), like))
 
 
-def _spanning_links(postings: DataFrame, like: Like, marks: DataFrame | None = None) -> DataFrame:
-    """(a, b): links between nodes of a list (``set``, ``value``) that are ``like`` each other, spanning what they join.
+def _spanning_links(postings: DataFrame, compared: Compared, marks: DataFrame | None = None) -> DataFrame:
+    """(a, b): links between nodes of a list (``set``, ``value``) that are like each other, spanning what they join.
 
-    A list gives no more links than it has nodes. One longer than ``BLOCK`` is split by a
-    hash into blocks, and every two blocks are compared by a task of their own. Nodes are
-    compared by themselves, or by their ``marks`` (node, bytes).
+    A list gives no more links than it has nodes. One of a ``weight`` (of each node; 1
+    unless ``postings`` have it) above ``BLOCK`` is split by a hash into blocks, and every
+    two blocks are compared by a task of their own. Nodes are compared by themselves, or by
+    their ``marks`` (node, ...).
     """
-    counts = postings.groupBy("set", "value").count()
+    weight = F.col("weight") if "weight" in postings.columns else F.lit(1.0)
+    counts = postings.groupBy("set", "value").agg(F.count("*").alias("count"), F.sum(weight).alias("weight"))
     # Left out: nodes that are alone in their list.
-    shared = counts.filter("count > 1").select("set", "value", F.when(F.col("count") > BLOCK, F.ceil(
-        F.col("count") * 1.25 / BLOCK)).cast("int").alias("blocks"))
+    shared = counts.filter("count > 1").select("set", "value", F.when(F.col("weight") > BLOCK, F.ceil(
+        F.col("weight") * 1.25 / BLOCK)).cast("int").alias("blocks"))
     dealt = postings.join(shared, ["set", "value"])
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # Block i meets every block j: as the first of the two where i <= j, else as the second.
@@ -114,8 +118,7 @@ def _spanning_links(postings: DataFrame, like: Like, marks: DataFrame | None = N
     spread = dealt.select("node", "set", "value", F.explode(meets).alias("pair"))
     keys = ["set", "value", "i", "j"]
     lists = spread.select("node", "set", "value", "pair.i", "pair.j")
-    by_marks = marks is not None
-    if by_marks:
+    if marks is not None:
         lists = lists.join(marks, "node")
     lists = lists.repartition(*keys).sortWithinPartitions(*keys)
 
@@ -123,9 +126,8 @@ def _spanning_links(postings: DataFrame, like: Like, marks: DataFrame | None = N
         nodes = rows["node"].to_numpy()
         found = []
         for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            compared = (np.frombuffer(b"".join(rows["mark"].iloc[begin:end]), np.uint8).reshape(end - begin, -1)
-                        if by_marks else nodes[begin:end].view(np.uint64))
-            found += [(nodes[begin + a], nodes[begin + b]) for a, b in forest(compared, like)]
+            pairs = forest(*compared(rows.iloc[begin:end]))
+            found += [(nodes[begin + a], nodes[begin + b]) for a, b in pairs]
         pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -218,8 +220,10 @@ def _labelled(kept: DataFrame, roots: DataFrame) -> DataFrame:
 
 #: Bytes of a signature, of which BANDS times ROWS make the keys that candidates share.
 POSITIONS, BANDS, ROWS = 256, 24, 5
-#: A signature's share of equal bytes strays from the similarity by this much on average.
-STRAY = 0.025
+#: Signatures nominate pairs down to so many standard deviations below the similarity asked for.
+DEVIATIONS = 5
+#: A node that is compared by its shingles weighs 1, and 1 more for each so many of them.
+SHINGLES = 1024
 _STIRS = np.random.default_rng(2).integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _KEYS = np.random.default_rng(3).integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -238,40 +242,97 @@ def byte_signature(hashes: np.ndarray) -> tuple[bytes, list[int]]:
     return (high & np.uint64(0xFF)).astype(np.uint8).tobytes(), mixed.view(np.int64).tolist()
 
 
-def copy_groups(marked: DataFrame, similarity: float, bits: int) -> DataFrame:
-    """(node, root) of texts linked to others, from ``marked`` (node, print, mark, keys), a row for each text.
+def shingle_set(text: Column, size: int) -> Column:
+    """The set of a text's shingles: their hashes, sorted, eight bytes each."""
+    @F.pandas_udf(T.BinaryType())
+    def sets(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, size)).astype("<u8").tobytes() for t in texts], dtype=object)
+    return sets(text)
 
-    Texts are linked if their fingerprints differ in at most ``bits`` bits, or if their
-    signatures share as many bytes as ``similarity`` makes them: a second inverted index,
-    of the keys, brings such pairs together, their equal bytes are tallied in the lists,
-    and pairs below the number are dropped. A pair of similarity 0.8 shares a key but once
-    in 10,000.
+
+def _least_equal(similarity: float) -> int:
+    """Equal bytes that signatures of sets of ``similarity`` have but for once in some millions."""
+    return int(POSITIONS * (similarity - DEVIATIONS * (similarity * (1 - similarity) / POSITIONS) ** 0.5))
+
+
+def _signatures(rows: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["mark"]), np.uint8).reshape(len(rows), -1)
+
+
+def candidate_groups(marked: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of texts that may be near-duplicates, from ``marked`` (node, mark, keys), a row for each text.
+
+    A second inverted index, of the keys, brings together texts whose signatures have
+    ``_least_equal`` bytes in common. A pair of similarity 0.8 shares no key but once in
+    10,000. Every two texts that are linked so, by others too, are in one group.
     """
+    least = _least_equal(similarity)
+
+    def compared(rows: pd.DataFrame) -> tuple[np.ndarray, Like]:
+        return _signatures(rows), lambda one, others: (others == one).sum(axis=1) >= least
+
+    postings = materialise(marked.select("node", F.posexplode("keys").alias("set", "value")))
+    return materialise(components(_spanning_links(postings, compared, marked.select("node", "mark"))))
+
+
+def fingerprint_links(marked: DataFrame, bits: int) -> DataFrame:
+    """(a, b): links of texts (node, print) whose fingerprints differ in at most ``bits`` bits."""
     reps = materialise(marked.groupBy("print").agg(F.min("node").alias("rep")))
     same = marked.join(reps, "print").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     near = links(reps.select("print"), bits)
     for side in ("a", "b"):
         near = near.join(reps.select(F.col("print").alias(side), F.col("rep").alias(f"{side}_rep")), side)
-    near = near.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
+    return same.union(near.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")))
 
-    least = round(POSITIONS * (similarity - STRAY + (1 - similarity + STRAY) / 256))
 
-    def like(one: np.ndarray, others: np.ndarray) -> np.ndarray:
-        return (others == one).sum(axis=1) >= least
+def similar_sets(similarity: float) -> Compared:
+    """Compares rows by the Jaccard similarity of their ``shingles``, counted only where their ``mark`` allows it."""
+    least = _least_equal(similarity)
 
-    postings = materialise(marked.select("node", F.posexplode("keys").alias("set", "value")))
-    alike = _spanning_links(postings, like, marked.select("node", "mark"))
-    return materialise(components(same.union(near).union(alike)))
+    def compared(rows: pd.DataFrame) -> tuple[np.ndarray, Like]:
+        marks = _signatures(rows)
+        sets = [np.frombuffer(s, "<u8") for s in rows["shingles"]]
+        sizes = np.array(list(map(len, sets)), dtype=np.int64)
+
+        def like(one: int, others: np.ndarray) -> np.ndarray:
+            own = sets[one]
+            if not len(own):
+                return sizes[others] == 0
+            found = (sizes[others] > 0) & ((marks[others] == marks[one]).sum(axis=1) >= least)
+            near = others[found]
+            if len(near):
+                every = np.concatenate([sets[o] for o in near.tolist()])
+                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                shared = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
+                found[found] = shared / (len(own) + sizes[near] - shared) >= similarity
+            return found
+
+        return np.arange(len(rows)), like
+
+    return compared
+
+
+def verified_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that join all texts of a group whose sets of shingles are of ``similarity`` or more.
+
+    ``sets`` has (node, root, mark, shingles): the group and the set of each text.
+    """
+    weight = 1 + F.octet_length("shingles") / (8 * SHINGLES)
+    postings = materialise(sets.select("node", F.lit(0).alias("set"), F.col("root").alias("value"),
+                                       weight.alias("weight")))
+    return _spanning_links(postings, similar_sets(similarity), sets.select("node", "mark", "shingles"))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 3, text: str = "text",
              doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id stays.
 
-    Documents are near-duplicates if their fingerprints are linked, or if about
-    ``similarity`` of their word shingles agree (``copy_groups``): fingerprints of texts
-    that share 0.8 of their shingles differ in some ten bits, far beyond what an index of
-    eight bytes can find. Texts without words are copies of each other. NULL ids come
+    Documents are near-duplicates if their fingerprints are linked, or if their sets of
+    word shingles have a Jaccard similarity of ``similarity`` or more: fingerprints of
+    texts that share 0.8 of their shingles differ in some ten bits, far beyond what an
+    index of eight bytes can find. Signatures only nominate such pairs
+    (``candidate_groups``), the sets decide (``verified_links``). Only texts of a group
+    are read again for it. Texts without words are copies of each other. NULL ids come
     last; rows with equal ids are told apart by a hash of the whole row, and of rows that
     agree in everything one stays.
     """
@@ -295,9 +356,19 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
     kept = materialise(docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), marks(F.col(text)).alias("of"))
                        .select("doc_id", "row", "of.*"))
     marked = materialise(kept.select("node", "print", "mark", "keys").dropDuplicates(["node"]))
-    roots = copy_groups(marked, similarity, bits)
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    by_text = kept.groupBy("node").agg(F.min(first).alias("first"))
+    by_text = materialise(kept.groupBy("node").agg(F.min(first).alias("first")))
+    maybe = candidate_groups(marked, similarity)
+    read = by_text.join(maybe, "node").select("node", "root", F.col("first.doc_id").alias("_id"),
+                                              F.col("first.row").alias("_row"))
+    bodies = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), F.col(text).alias("text")).join(
+        read, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
+    # Rows that agree in everything are one text.
+    sets = materialise(bodies.select("node", "root", "text").dropDuplicates(["node"]).select(
+        "node", "root", shingle_set(F.col("text"), shingle).alias("shingles")).join(
+        marked.select("node", "mark"), "node"))
+    alike = verified_links(sets, similarity)
+    roots = materialise(components(alike.union(fingerprint_links(marked, bits))))
     by_root = by_text.join(roots, "node", "left").groupBy(
         F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     stay = materialise(by_root.select(F.col("first.doc_id").alias("_stay_id"), F.col("first.row").alias("_stay_row")))

@@ -109,6 +109,33 @@ def test_near_copies_go_and_others_stay(spark):
             assert max(like) < 0.84
 
 
+def numbered(*spans):
+    """A text of numbered words: each span of numbers in turn."""
+    return " ".join(f"w{i}" for a, b in spans for i in range(a, b))
+
+
+def test_the_sets_decide_at_exactly_the_similarity(spark):
+    """Pairs a hair on either side of 0.8, and at it: by signatures alone many fall on the wrong side."""
+    texts, copies = [], []
+    for k in range(60):
+        start = 10_000 * k
+        # 400 of 500 shingles shared; one shared less; one more shared of as many.
+        one, other = [(start, start + 454)], [(start, start + 404), (start + 5000, start + 5050)]
+        if k % 3 == 1:
+            other[-1] = (start + 5000, start + 5051)
+        if k % 3 == 2:
+            other[-1] = (start + 5000, start + 5049)
+        a, b = numbered(*one), numbered(*other)
+        sets = shingles(a), shingles(b)
+        likeness = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        assert abs(likeness - 0.8) < 0.002 and (likeness >= 0.8) == (k % 3 != 1)
+        copies.append(likeness >= 0.8)
+        texts += [a, b]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"] for r in simhash.keep_one(docs).collect()}
+    assert kept == {2 * k for k in range(60)} | {2 * k + 1 for k in range(60) if not copies[k]}
+
+
 def test_one_of_each_group_stays(spark, awkward):
     kept = simhash.keep_one(awkward)
     assert kept.columns == awkward.columns
