@@ -259,12 +259,13 @@ def _signatures(rows: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(rows["mark"]), np.uint8).reshape(len(rows), -1)
 
 
-def candidate_groups(marked: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of texts that may be near-duplicates, from ``marked`` (node, mark, keys), a row for each text.
+def candidate_groups(marked: DataFrame, similarity: float, bits: int) -> DataFrame:
+    """(node, root) of texts that may be near-duplicates, from ``marked`` (node, print, mark, keys), a row for each.
 
-    A second inverted index, of the keys, brings together texts whose signatures have
-    ``_least_equal`` bytes in common. A pair of similarity 0.8 shares no key but once in
-    10,000. Every two texts that are linked so, by others too, are in one group.
+    Fingerprints that differ in at most ``bits`` bits bring texts together; so does a
+    second inverted index, of the keys, if their signatures have ``_least_equal`` bytes in
+    common. A pair of similarity 0.8 shares no key but once in 10,000. Every two texts that
+    are linked so, by others too, are in one group.
     """
     least = _least_equal(similarity)
 
@@ -272,7 +273,8 @@ def candidate_groups(marked: DataFrame, similarity: float) -> DataFrame:
         return _signatures(rows), lambda one, others: (others == one).sum(axis=1) >= least
 
     postings = materialise(marked.select("node", F.posexplode("keys").alias("set", "value")))
-    return materialise(components(_spanning_links(postings, compared, marked.select("node", "mark"))))
+    alike = _spanning_links(postings, compared, marked.select("node", "mark"))
+    return materialise(components(alike.union(fingerprint_links(marked, bits))))
 
 
 def fingerprint_links(marked: DataFrame, bits: int) -> DataFrame:
@@ -327,12 +329,13 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
              doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id stays.
 
-    Documents are near-duplicates if their fingerprints are linked, or if their sets of
-    word shingles have a Jaccard similarity of ``similarity`` or more: fingerprints of
-    texts that share 0.8 of their shingles differ in some ten bits, far beyond what an
-    index of eight bytes can find. Signatures only nominate such pairs
-    (``candidate_groups``), the sets decide (``verified_links``). Only texts of a group
-    are read again for it. Texts without words are copies of each other. NULL ids come
+    Documents are near-duplicates if their sets of word shingles have a Jaccard similarity
+    of ``similarity`` or more. Fingerprints and signatures only nominate such pairs
+    (``candidate_groups``), the sets decide (``verified_links``): fingerprints of texts
+    that share 0.8 of their shingles differ in some ten bits, far beyond what an index of
+    eight bytes can find, and texts that are mostly one shingle have equal ones whatever
+    else they hold. Only texts of a group are read again. Texts without words are copies
+    of each other. NULL ids come
     last; rows with equal ids are told apart by a hash of the whole row, and of rows that
     agree in everything one stays.
     """
@@ -358,7 +361,7 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
     marked = materialise(kept.select("node", "print", "mark", "keys").dropDuplicates(["node"]))
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     by_text = materialise(kept.groupBy("node").agg(F.min(first).alias("first")))
-    maybe = candidate_groups(marked, similarity)
+    maybe = candidate_groups(marked, similarity, bits)
     read = by_text.join(maybe, "node").select("node", "root", F.col("first.doc_id").alias("_id"),
                                               F.col("first.row").alias("_row"))
     bodies = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), F.col(text).alias("text")).join(
@@ -367,8 +370,7 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
     sets = materialise(bodies.select("node", "root", "text").dropDuplicates(["node"]).select(
         "node", "root", shingle_set(F.col("text"), shingle).alias("shingles")).join(
         marked.select("node", "mark"), "node"))
-    alike = verified_links(sets, similarity)
-    roots = materialise(components(alike.union(fingerprint_links(marked, bits))))
+    roots = materialise(components(verified_links(sets, similarity)))
     by_root = by_text.join(roots, "node", "left").groupBy(
         F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     stay = materialise(by_root.select(F.col("first.doc_id").alias("_stay_id"), F.col("first.row").alias("_stay_row")))

@@ -136,6 +136,40 @@ def test_the_sets_decide_at_exactly_the_similarity(spark):
     assert kept == {2 * k for k in range(60)} | {2 * k + 1 for k in range(60) if not copies[k]}
 
 
+def test_near_copies_by_the_true_similarity(spark, monkeypatch):
+    """What stays is one of each group of texts that pairs of 0.8 or more join, also where groups are split."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    texts = []
+    for _ in range(12):
+        base = rng.choices(words, k=rng.randint(60, 300))
+        for changes in range(0, 16):
+            copy = list(base)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = "changed" + str(rng.random())
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    sets = [shingles(t) for t in texts]
+    least = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+            old, new = max(least[i], least[j]), min(least[i], least[j])
+            least = [new if x == old else x for x in least]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for block in (4096, 8):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == set(least)
+
+
+def test_equal_fingerprints_alone_delete_nothing(spark):
+    """Texts that are mostly zeros have the fingerprint of the zeros, whatever else they hold."""
+    texts = [numbered((1000 * k, 1000 * k + 300)) + " 0" * 340 for k in range(6)]
+    assert len({simhash.majority_bits(simhash.shingle_hashes(t, 5)) for t in texts}) == 1
+    texts.append(texts[2] + " 0 end")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == set(range(6))
+
+
 def test_one_of_each_group_stays(spark, awkward):
     kept = simhash.keep_one(awkward)
     assert kept.columns == awkward.columns
