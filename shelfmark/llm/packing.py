@@ -1,6 +1,7 @@
 """Packing token sequences into rows of fixed length by best fit and swap-based local search."""
 
 import base64
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -16,6 +17,12 @@ from ..checkpoints import materialise
 
 #: Pieces that one task packs together: bounds its memory, and leaves it one or two underfull rows in thousands.
 BLOCK = 16_384
+#: The token that the vocabulary adds to those of the ranks, one id wherever a text holds it.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
+#: A run of this many blanks is taken out before the pattern's search, which fails at some 700,000.
+LONG_RUN = 100_000
+#: What the pattern takes for blanks; Python's own class holds four more.
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 @lru_cache(maxsize=2)
@@ -28,6 +35,24 @@ def _encoding(ranks_path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_ids(encoding, text: str) -> np.ndarray:
+    """The ids of a text, as the vocabulary's own file gives them: ``ADDED`` is one id, all else follows the ranks."""
+    parts = []
+    for number, body in enumerate(text.split(ADDED)):
+        if number:
+            parts.append([ADDED_ID])
+        at = 0
+        for run in _BLANKS.finditer(body) if len(body) >= LONG_RUN else ():
+            if run.end() - run.start() >= LONG_RUN:
+                # The pattern takes a run as one, but for its last blank if more text follows.
+                end = run.end() - (run.end() < len(body))
+                parts += [encoding.encode_to_numpy(body[at:run.start()], disallowed_special=()),
+                          encoding._encode_single_piece(body[run.start():end])]
+                at = end
+        parts.append(encoding.encode_to_numpy(body[at:], disallowed_special=()))
+    return np.concatenate([np.asarray(p, dtype="<u4") for p in parts])
+
+
 def cut(total: int, length: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document: full ones, but for the first."""
     first = total % length or min(total, length)
@@ -44,7 +69,7 @@ def tokenised_pieces(docs: DataFrame, ranks_path: str, pattern: str, length: int
         for batch in batches:
             rows = []
             for key, row, body in zip(batch["_id"], batch["_row"], batch["_text"]):
-                ids = encoding.encode_to_numpy(body, disallowed_special=()).astype("<u4").tobytes() + end
+                ids = token_ids(encoding, body).tobytes() + end
                 for number, (start, count) in enumerate(cut(len(ids) // 4, length)):
                     rows.append((key, row, number, start, count, zlib.crc32(ids[4 * start:4 * (start + count)])))
             yield pd.DataFrame(rows, columns=["_id", "_row", "piece", "start", "length", "ids_crc32"])

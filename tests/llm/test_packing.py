@@ -45,6 +45,27 @@ def test_odd_white_space_and_special_strings():
         assert encoding.encode_to_numpy(text, disallowed_special=()).tolist() + [END_ID] == ids_of(text)
 
 
+def test_ids_are_those_of_the_file_as_it_is(spark):
+    """Against the tokenizers file with no switch but add_special_tokens=False."""
+    tokenizer = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    long = packing.LONG_RUN
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endoftext", "<|<|endoftext|>|>",
+             "two\n\n<|endoftext|>\n y"]
+    texts += [f"a{gap * n}{after}" for gap in (" ", "\t", "\n") for n in (long - 1, long, 1_000_000)
+              for after in ("", "b", "'s", "<|endoftext|>", "\u3000", " \x1c")]
+    texts += [" " * 1_000_000, "x" + " \u3000\r" * 400_000 + "y" + "\n" * long + "z<|endoftext|>" + " " * long]
+    encoding = packing._encoding(*vocabulary())
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    for text, ids in zip(texts, want):
+        assert packing.token_ids(encoding, text).tolist() == ids
+    few = [0, 2, 5, 12, len(texts) - 1]
+    docs = spark.createDataFrame([(k, texts[k]) for k in few], "doc_id long, text string")
+    sizes = packing.pack_documents(docs, *vocabulary(), 1024, END_ID).groupBy("doc_id").sum("length").collect()
+    got = {r["doc_id"]: r["sum(length)"] for r in sizes}
+    assert got == {k: len(want[k]) + 1 for k in few}
+
+
 def test_cut():
     assert packing.cut(5, 4) == [(0, 1), (1, 4)]
     assert packing.cut(8, 4) == [(0, 4), (4, 4)]
