@@ -104,33 +104,161 @@ class TreeBuilder(HTMLParser):
 
 # ------------------------------------------------------------------------------- styles
 
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SIMPLE = re.compile(r"([a-z][a-z0-9]*)?([.#][\w-]+)?\Z", re.I)
-
-
-def hiding_selectors(css: str) -> set[str]:
-    """Plain selectors (tag, .class, #id or tag.class) whose rule takes elements off the page."""
-    found = set()
-    for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
-        if _takes_off(body):
-            found |= {s.strip().lower() for s in selectors.split(",") if s.strip() and _SIMPLE.match(s.strip())}
+#: Comments and the marks that hide a style from old browsers; strings, and what ends or opens a part of a style.
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)|<!--|-->", re.S)
+_MARK = re.compile(r""""(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|[{};]""", re.S)
+#: Properties that take an element off the page, with the values that do.
+TAKES_OFF = {"display": {"none"}, "visibility": {"hidden", "collapse"}, "content-visibility": {"hidden"}}
+#: The screen that pages are laid out for, in CSS pixels, and what else it is.
+SCREEN = {"width": 1920.0, "height": 1080.0}
+FEATURES = {"orientation": "landscape", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference",
+            "prefers-contrast": "no-preference", "hover": "hover", "any-hover": "hover", "pointer": "fine",
+            "any-pointer": "fine", "scripting": "enabled", "update": "fast", "display-mode": "browser",
+            "forced-colors": "none"}
+UNITS = {"": 1, "px": 1, "em": 16, "rem": 16, "pt": 4 / 3, "in": 96, "cm": 96 / 2.54, "mm": 96 / 25.4}
+_LENGTH = r"([0-9]*\.?[0-9]+)(px|r?em|pt|in|cm|mm|)"
+_BOUND = re.compile(rf"(min|max)-(?:device-)?(width|height)\s*:\s*{_LENGTH}\Z")
+_BOUNDS = re.compile(rf"(?:{_LENGTH}\s*([<>]=?)\s*)?(width|height)(?:\s*([<>]=?|=)\s*{_LENGTH})?\Z")
+COMPARE = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
+
+#: For each selector and property the rule that wins: (important, specificity, order, value).
+Rules = dict[str, dict[str, tuple[bool, int, int, str]]]
+
+
+def media_holds(media: str) -> bool:
+    """Whether a list of media queries holds on ``SCREEN``; one of unknown features does not."""
+    return not media.strip() or any(_query_holds(query.strip()) for query in media.lower().split(","))
+
+
+def _query_holds(query: str) -> bool:
+    start = re.match(r"(not|only)\s+", query)
+    query = query[start.end():] if start else query
+    holds = False
+    for one in re.split(r"\s+or\s+", query):
+        parts = [_part_holds(part.strip()) for part in re.split(r"\s+and\b", one)]
+        if False not in parts:
+            holds = None if None in parts else True
+        if holds:
+            break
+    return holds is False if start and start[1] == "not" else holds is True
+
+
+def _part_holds(part: str) -> bool | None:
+    """A media type, or a feature in brackets; None if it is not known."""
+    if not part.startswith("("):
+        return part in ("all", "screen")
+    part = part[1:-1].strip()
+    if bound := _BOUND.match(part):
+        of, length = SCREEN[bound[2]], float(bound[3]) * UNITS[bound[4]]
+        return of >= length if bound[1] == "min" else of <= length
+    if bounds := _BOUNDS.match(part):
+        low, low_unit, low_sign, name, sign, high, unit = bounds.groups()
+        return ((low is None or COMPARE[low_sign](float(low) * UNITS[low_unit], SCREEN[name]))
+                and (high is None or COMPARE[sign](SCREEN[name], float(high) * UNITS[unit])))
+    name, _, value = (piece.strip() for piece in part.partition(":"))
+    if name not in FEATURES:
+        return None
+    return FEATURES[name] == value if value else FEATURES[name] not in ("none", "no-preference")
+
+
+def _group_holds(prelude: str) -> bool:
+    """Whether the rules within an at-rule are rules of the page."""
+    name = re.match(r"@([\w-]*)", prelude)[1].lower()
+    inner = prelude[len(name) + 1:].strip()
+    if name == "media":
+        return media_holds(inner)
+    return name == "layer" or name == "supports" and not re.match(r"not\b", inner, re.I)
+
+
+def _blocks(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules that hold, whatever blocks they are nested in."""
+    css = _COMMENT.sub(" ", css)
+    open_blocks: list[tuple[str | None, bool, list[str]]] = []      # selectors, whether it holds, declarations
+    start = 0
+    for mark in [*_MARK.finditer(css), None]:
+        sign, end, after = (mark[0], mark.start(), mark.end()) if mark else ("}", len(css), len(css))
+        if sign[0] in "\"'":
+            continue
+        if sign == "{":
+            prelude = css[start:end].strip()
+            outer, holds, _ = open_blocks[-1] if open_blocks else (None, True, None)
+            if prelude.startswith("@"):
+                open_blocks.append((outer, holds and _group_holds(prelude), []))
+            else:       # a rule within a rule is for descendants: no plain selector
+                nested = any(selectors is not None for selectors, _, _ in open_blocks)
+                open_blocks.append(("" if nested else prelude, holds, []))
+        elif open_blocks:
+            open_blocks[-1][2].append(css[start:end])
+            while sign == "}" and open_blocks:
+                selectors, holds, declarations = open_blocks.pop()
+                if selectors and holds:
+                    yield selectors, ";".join(declarations)
+                if mark:
+                    break       # the end of the style closes what is left open
+        start = after
+
+
+def _declared(style: str) -> dict[str, tuple[bool, str]]:
+    """(important, value) of the properties of ``TAKES_OFF`` that a style sets."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in style.split(";"):
+        name, _, value = declaration.partition(":")
+        name = name.strip().lower()
+        if name in TAKES_OFF:
+            value, mark, _ = value.lower().partition("!")
+            value, important = value.strip(), bool(mark)
+            if re.fullmatch(r"[a-z][a-z -]*", value) and (important or not found.get(name, (False,))[0]):
+                found[name] = important, value
     return found
 
 
-def _takes_off(style: str) -> bool:
-    return re.search(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", style, re.I) is not None
+def style_rules(*sheets: str) -> Rules:
+    """What the rules of plain selectors (tag, .class, #id, or a tag with one of them) say of ``TAKES_OFF``."""
+    rules: Rules = {}
+    for order, (selectors, style) in enumerate(block for css in sheets for block in _blocks(css)):
+        declared = _declared(style)
+        for selector in selectors.lower().split(",") if declared else ():
+            selector = selector.strip()
+            plain = _SIMPLE.match(selector)
+            if not selector or not plain:
+                continue
+            specificity = (100 if "#" in selector else 10 if "." in selector else 0) + bool(plain[1])
+            of = rules.setdefault(selector, {})
+            for name, (important, value) in declared.items():
+                of[name] = max(of.get(name, (False, -1, -1, "")), (important, specificity, order, value))
+    return rules
+
 
+def shown(node: Node, rules: Rules) -> tuple[bool, bool | None]:
+    """Whether an element is on the page, and whether it is visible there (None: as its parent is).
 
-def hidden(node: Node, selectors: set[str]) -> bool:
+    Of what rules and the element's own style say, the important wins, then the own style,
+    the more specific and the later rule. Attributes give way to any of them.
+    """
     attrs = node.attrs
-    if node.tag in HIDDEN or "hidden" in attrs or _takes_off(attrs.get("style", "")):
-        return True
-    if node.tag == "dialog" and "open" not in attrs:
-        return True
-    if selectors:
+    if node.tag in HIDDEN:
+        return False, None
+    off = "hidden" in attrs or node.tag == "dialog" and "open" not in attrs
+    if not rules and "style" not in attrs:
+        return not off, None
+    said: dict[str, tuple[bool, int, int, str]] = {}
+    if rules:
         names = [f".{c}" for c in attrs.get("class", "").lower().split()] + [f"#{attrs.get('id', '').lower()}"]
-        return node.tag in selectors or any(n in selectors or node.tag + n in selectors for n in names)
-    return False
+        for selector in [node.tag, *names, *[node.tag + n for n in names]]:
+            for name, rule in rules.get(selector, {}).items():
+                said[name] = max(said.get(name, rule), rule)
+    for name, (important, value) in _declared(attrs.get("style", "")).items():
+        own = (important, 1000, 0, value)
+        said[name] = max(said.get(name, own), own)
+    values = {name: rule[3] for name, rule in said.items()}
+    if "display" in values:
+        off = values["display"] in TAKES_OFF["display"]
+    off = off or values.get("content-visibility") in TAKES_OFF["content-visibility"]
+    visibility = values.get("visibility", "inherit")
+    if visibility in TAKES_OFF["visibility"]:
+        return not off, False
+    return not off, True if visibility in ("visible", "initial") else None
 
 
 # ------------------------------------------------------------------------------- layout
@@ -243,31 +371,34 @@ class Table:
         return made
 
 
-def _steps(root: Node, selectors: set[str]) -> Iterator[tuple[str, Node | str, Node | None]]:
+def _steps(root: Node, rules: Rules) -> Iterator[tuple[str, Node | str, Node | None]]:
     """Enter, text and leave steps over what is visible, without recursion: pages nest as deep as they like."""
-    stack: list[tuple[Node, Iterator]] = [(root, iter(root.children))]
+    stack: list[tuple[Node, Iterator, bool]] = [(root, iter(root.children), True)]
     while stack:
-        node, children = stack[-1]
+        node, children, visible = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
             if stack:
                 yield "leave", node, None
         elif isinstance(child, str):
-            yield "text", child, node
-        elif not hidden(child, selectors) and not (node.tag == "details" and "open" not in node.attrs
-                                                   and child.tag != "summary"):
-            yield "enter", child, node
-            stack.append((child, iter(child.children)))
+            if visible:
+                yield "text", child, node
+        elif not (node.tag == "details" and "open" not in node.attrs and child.tag != "summary"):
+            there, seen = shown(child, rules)
+            seen = visible if seen is None else seen
+            if there and (seen or child.tag != "input"):
+                yield "enter", child, node
+                stack.append((child, iter(child.children), seen))
 
 
-def render(root: Node, selectors: set[str] = frozenset()) -> str:
+def render(root: Node, rules: Rules = {}) -> str:
     """All visible text of a tree, laid out in lines."""
     setting = [Lines()]
     tables: list[Table] = []
     lists: list[list] = []      # tag and next number of each open list
     verbatim = 0
-    for step, node, parent in _steps(root, selectors):
+    for step, node, parent in _steps(root, rules):
         out = setting[-1]
         if step == "text":
             if parent.tag == "details" and "open" not in parent.attrs:
@@ -357,10 +488,11 @@ def extract(html: str | None) -> tuple[str | None, str]:
     builder = TreeBuilder()
     builder.feed(_UNCLOSED.sub("", html))
     builder.close()
-    css = "\n".join("".join(c for c in node.children if isinstance(c, str)) for node in _find(builder.root, "style"))
+    sheets = ["".join(c for c in node.children if isinstance(c, str)) for node in _find(builder.root, "style")
+              if media_holds(node.attrs.get("media", ""))]
     title = next((SPACES.sub(" ", "".join(c for c in node.children if isinstance(c, str))).strip()
                   for node in _find(builder.root, "title")), None)
-    return title, render(builder.root, hiding_selectors(css))
+    return title, render(builder.root, style_rules(*sheets))
 
 
 def page_texts(pages: DataFrame, html: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:

@@ -32,6 +32,57 @@ def test_layout(source, text):
     assert html_text.extract(source)[1] == text
 
 
+SHOWN = "<div class=x>text</div>end"
+STYLES = [
+    ("@media print { .x { display:none } }", True),
+    ("@media (max-width:600px) { .x { display:none } }", True),
+    ("@media screen and (max-width: 40em), print { .y{color:red} .x { display:none } }", True),
+    ("@media (width <= 600px) { .x { display:none } }", True),
+    ("@media (400px <= width <= 700px) { .x { display:none } }", True),
+    ("@media (prefers-color-scheme: dark) { .x { display:none } }", True),
+    ("@media not screen { .x { display:none } }", True),
+    ("@media print { @supports (display:grid) { .x { display:none } } } .y { display:none }", True),
+    ("@media print { .y { color:red } } .x { display:none }", False),
+    ("@media screen { .x { display:none } }", False),
+    ("@media only screen and (min-width: 768px) { .x { display:none } }", False),
+    ("@media not print { .x { display:none } }", False),
+    ("@media print, (width > 600px) { .x { display:none } }", False),
+    ("@supports (display:grid) { @media all { .x { display:none } } }", False),
+    ("@import 'a.css'; .x { display:none }", False),
+    (".x { content:'}'; display:none }", False),
+    (".x { display:none } @media (min-width:768px) { .x { display:block } }", True),
+    (".x { display:none } .x { display:flex }", True),
+    (".x { display:flex } .x { display:none }", False),
+    (".x { display:none !important } .x { display:flex }", False),
+    ("div.x { display:none } .x { display:block }", False),
+    (".x { display:none } div { display:block }", False),
+    (".x { visibility:hidden } .x { visibility:visible }", True),
+    (".y { color:red; .x { display:none } }", True),
+    ("@keyframes f { from { display:none } } .x { color:red", True),
+    (".x { display:none", False),
+]
+
+
+@pytest.mark.parametrize("style, visible", STYLES)
+def test_styles_hide_what_they_hide_on_a_wide_screen(style, visible):
+    assert html_text.extract(f"<style>{style}</style>{SHOWN}")[1] == ("text\nend" if visible else "end")
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<style>.x{display:none}</style><div class=x style='display:block'>a</div>b", "a\nb"),
+    ("<style>.x{display:none!important}</style><div class=x style='display:block'>a</div>b", "b"),
+    ("<style>.x{display:block}</style><div class=x style='display:none'>a</div>b", "b"),
+    ("<style media=print>.x{display:none}</style><div class=x>a</div>b", "a\nb"),
+    ("<style media=screen>.x{display:none}</style><div class=x>a</div>b", "b"),
+    ("<style>.y{color:red</style><style>.x{display:none}</style><div class=x>a</div>b", "b"),
+    ("<div hidden style='display:block'>a</div>b", "a\nb"),
+    ("<div style='visibility:hidden'>a<p style='visibility:visible'>b</p></div>c", "b\n\nc"),
+    ("<div style='visibility:hidden'>a<p>b</p><input type=submit value=v></div>c", "c"),
+])
+def test_the_winning_style_counts(source, text):
+    assert html_text.extract(source)[1] == text
+
+
 def test_title():
     assert html_text.extract("<title> A \n&amp; B</title>x") == ("A & B", "x")
 
