@@ -2,9 +2,9 @@
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..checkpoints import checkpoint_dir
+from ..checkpoints import checkpoint_dir, pin_partitions
 from ..functions.text import KEYWORDS
 from ..operators import catalogue as cat, etl, keywords as kw, reports as rp
 from ..schemas import RAW_BOOKS, RAW_REVIEWS
@@ -166,6 +166,17 @@ def _numbered(frame: DataFrame) -> DataFrame:
     return frame.coalesce(1).withColumn("position", F.monotonically_increasing_id())
 
 
+def _numbered_by_part(ordered: DataFrame) -> DataFrame:
+    """All rows of an ordered frame with their place in it: each partition numbers its own, only its count moves."""
+    rows = pin_partitions(ordered).select("*", F.spark_partition_id().alias("_part"),
+                                          F.monotonically_increasing_id().alias("_id"))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(F.broadcast(starts), "_part").withColumn("position", F.col("_id") + F.col("_shift")).drop(
+        "_part", "_id", "_shift")
+
+
 @query(f"""WITH {BOOKS} SELECT row_number() OVER (ORDER BY min(num_pages)) - 1 AS position,
   {_case("num_pages", cat.ladders.PAGES)} AS page_category, count(*) AS book_count
   FROM books WHERE num_pages > 0 GROUP BY 2""".replace("GROUP BY 2", "GROUP BY page_category"))
@@ -175,4 +186,5 @@ def page_distribution_in_order(spark, sf):
 
 @query("SELECT row_number() OVER (ORDER BY source) - 1 AS position, source, count(*) AS n FROM documents GROUP BY source")
 def label_counts_in_order(spark, sf):
-    return _numbered(rp.label_counts(tb.table(spark, sf, "documents"), "source", "n").limit(1000))
+    counts = rp.label_counts(tb.table(spark, sf, "documents"), "source", "n")
+    return _numbered_by_part(counts.orderBy(F.asc_nulls_last("source")))

@@ -5,6 +5,7 @@ from data import RAW_BOOKS
 from shelfmark.functions.ladders import ENGAGEMENT, KEYWORD_DENSITY, PAGES, RATING, SHELVES
 from shelfmark.functions.numbers import percent_sql, rounded
 from shelfmark.operators import catalogue as cat, etl, filters, keywords as kw, reports as rp, tags
+from shelfmark.plans import file_checks
 from shelfmark.schemas import RAW_BOOKS as SCHEMA
 
 
@@ -212,3 +213,12 @@ def test_filters(spark, books):
     assert filters.exclude_values(tags_, "shelf_name", listed).count() == 2
     filled = filters.fill_zero(books.select("book_id", "num_pages"))
     assert filled.filter("num_pages IS NULL").count() == 0
+
+
+def test_label_counts_in_order_has_every_label(spark, tmp_path):
+    labels = [f"source {k:04}" for k in range(2500)]
+    rows = [(label,) for k, label in enumerate(labels) for _ in range(1 + k % 3)] + [(None,)]
+    spark.createDataFrame(rows, "source string").repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    got = file_checks.label_counts_in_order(spark, str(tmp_path)).collect()
+    assert sorted((r["position"], r["source"], r["n"]) for r in got) == [
+        (k, label, 1 + k % 3) for k, label in enumerate(labels)] + [(2500, None, 1)]
