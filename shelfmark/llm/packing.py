@@ -98,7 +98,7 @@ def best_fit(lengths: np.ndarray, room: int) -> list[list[int]]:
     return bins
 
 
-def swap_search(bins: list[list[int]], lengths: np.ndarray, room: int, patience: int = 100) -> list[list[int]]:
+def swap_search(bins: list[list[int]], lengths: np.ndarray, room: int) -> list[list[int]]:
     """Fewer bins: documents moved or exchanged while the sum of squared fills grows.
 
     The emptiest underfull bin gives. Of all exchanges with the other underfull bins, the
@@ -106,16 +106,15 @@ def swap_search(bins: list[list[int]], lengths: np.ndarray, room: int, patience:
     document for one, one for two, or two for one. Tokens shifted to a fuller bin raise
     the sum of squares, so this ends. A bin left empty is dropped; one that cannot give
     any more is set aside, and the next emptiest gives, until the others' room is less
-    than its fill, or ``patience`` bins in a row could not be emptied.
+    than its fill.
     """
     done = [b for b in bins if lengths[b].sum() == room]
     under = sorted((list(b) for b in bins if lengths[b].sum() < room), key=lambda b: int(lengths[b].sum()))
     tables = [_returns(lengths[b], room) for b in under]
     spare = sum(room - int(lengths[b].sum()) for b in under)
-    failed = 0
     for number, giver in enumerate(under):
         fill = int(lengths[giver].sum())
-        if spare - (room - fill) < fill or failed == patience:
+        if spare - (room - fill) < fill:
             break
         tables[number] = tables[number][:, :0]
         while giver:
@@ -135,7 +134,6 @@ def swap_search(bins: list[list[int]], lengths: np.ndarray, room: int, patience:
             taker[:] = [j for j in taker if j not in enter] + leave
             tables[at[option]] = _returns(lengths[taker], room)
         spare -= room - fill if giver else room
-        failed = failed + 1 if giver else 0
         if giver:
             tables[number] = _returns(lengths[giver], room)
             spare += room - int(lengths[giver].sum())

@@ -98,5 +98,12 @@ def test_exchanges_empty_a_bin():
     assert len(after) == 2
 
 
+def test_every_underfull_bin_gives():
+    # None of the emptier bins can give its 6; the last bin's threes go to three of them.
+    lengths = np.array([6] * 150 + [3, 3, 3])
+    after = packing.swap_search([[i] for i in range(150)] + [[150, 151, 152]], lengths, 10)
+    assert len(after) == 150 and all(lengths[b].sum() <= 10 for b in after)
+
+
 def test_empty_table(nothing):
     assert packing.pack_documents(nothing, *vocabulary(), 16).count() == 0
