@@ -1,10 +1,13 @@
 """The operators applied to whole tables, with SQL twins where SQL can say the same."""
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import fingerprints, html_text, mixing, neighbours, packing, pii, quality, secrets, sharding, simhash
+from ..checkpoints import checkpoint_dir
+from . import (centroids, fingerprints, html_text, mixing, neighbours, packing, pii, quality, secrets, sharding, simhash,
+               spelling, token_files)
 
 LENGTH, END_ID = 1024, 2
 
@@ -74,6 +77,23 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, folder))
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{checkpoint_dir(spark)}/token-files-{uuid4().hex}"
+    token_files.write_tokens(documents(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return token_files.read_tokens(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_fingerprints": op2_fingerprints,
@@ -85,9 +105,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,
     "op10_sharding": op10_sharding,
+    "op11_spelling": op11_spelling,
+    "op12_token_files": op12_token_files,
+    "op13_centroids": op13_centroids,
 }
 
+
+def _clustering(rounds: int) -> str:
+    """The clustering of ``embeddings`` with so many rounds, each of them a few tables."""
+    tables = ["""kept AS (
+            SELECT row_number() OVER () AS row, vec_id,
+                   [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64)""",
+              """c0 AS (
+            SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q
+            FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, q FROM kept ORDER BY h, q LIMIT 16))"""]
+    for n in range(rounds + 1):
+        tables.append(f"""a{n} AS (
+            SELECT row, min(struct_pack(d := d, c := c)) AS best
+            FROM (SELECT row, c, CAST(list_sum([(k.q[i] - o.q[i]) * (k.q[i] - o.q[i]) FOR i IN generate_series(1, 64)])
+                                   AS BIGINT) AS d
+                  FROM kept k, c{n} o)
+            GROUP BY row)""")
+        if n < rounds:
+            tables.append(f"""m{n} AS (
+            SELECT c, list(CAST(floor_sum AS BIGINT) ORDER BY i) AS q
+            FROM (SELECT c, i, (s - ((s % n) + n) % n) // n AS floor_sum
+                  FROM (SELECT best.c AS c, i, CAST(sum(v) AS HUGEINT) AS s, count(*) AS n
+                        FROM (SELECT row, unnest(q) AS v, generate_subscripts(q, 1) AS i FROM kept) JOIN a{n} USING (row)
+                        GROUP BY best.c, i))
+            GROUP BY c),
+        c{n + 1} AS (SELECT o.c, coalesce(m.q, o.q) AS q FROM c{n} o LEFT JOIN m{n} m USING (c))""")
+    return f"""WITH {", ".join(tables)}
+        SELECT vec_id, CAST(best.c AS INT) AS cluster, best.d AS distance,
+               CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(o.q, ',')) AS centroid_sha256
+        FROM kept JOIN a{rounds} USING (row) JOIN c{rounds} o ON o.c = best.c"""
+
+
 SQL: dict[str, str] = {
+    "op13_centroids": _clustering(3),
     "op8_mixing": """
         WITH sized AS (
             SELECT doc_id, source, text,
