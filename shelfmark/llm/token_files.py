@@ -26,9 +26,11 @@ BLOCKS_PER_FILE = 64
 #: What the writer puts after each block.
 PARTED = b"\n"
 #: Words whose ids a worker keeps, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 48
-#: White space that parts words for every tokenizer that takes no id across it.
-_WORDS = re.compile("[^\x20\x09-\x0D]+")
+KEPT_WORDS, KEPT_LENGTH = 1_000_000, 48
+# No id goes across white space, nor from a letter to the sign after it. So a word of letters and
+# the signs that end it are taken apart, but only these: an apostrophe or a combining mark may join.
+_WORDS = re.compile("(?<![^\x20\x09-\x0D])[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?]*(?:[\x20\x09-\x0D]|$))"
+                    "|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?]+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]+")
 
 
 @lru_cache(maxsize=2)
@@ -40,6 +42,12 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def _words(path: str) -> "Words":
+    """One for all tasks of a worker."""
+    return Words(path)
+
+
 class Words:
     """Ids of texts, word by word, for vocabularies that drop white space: a word that was met keeps its ids."""
 
@@ -64,7 +72,7 @@ class Words:
 
 def _in_blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int) -> Iterator[pd.DataFrame]:
     """The documents of a task as blocks of ids, with the number of ids before each in the task."""
-    part, words, before = TaskContext.get().partitionId(), Words(path), 0
+    part, words, before = TaskContext.get().partitionId(), _words(path), 0
     doc_ids, parts, held = [], [], 0
 
     def block() -> pd.DataFrame:
