@@ -8,6 +8,7 @@ run again replaces what it wrote.
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +33,10 @@ KEPT_WORDS, KEPT_LENGTH = 1_000_000, 48
 _WORDS = re.compile("(?<![^\x20\x09-\x0D])[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?]*(?:[\x20\x09-\x0D]|$))"
                     "|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?]+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]+")
 
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: The letters that ``_PLAIN`` holds.
+LETTERS = "".join(c for c in map(chr, range(256)) if _PLAIN.match(c))
+
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
@@ -53,21 +58,35 @@ class Words:
 
     def __init__(self, path: str):
         self._tokenizer, self._kept = _tokenizer(path), {}
+        self._model = self._tokenizer.model
+        self._letters = self._as_the_model_sees()
+
+    def _as_the_model_sees(self) -> dict[int, str] | None:
+        """What each letter becomes before the model, if all that happens to a run of them happens letter by letter."""
+        normal, parted = self._tokenizer.normalizer, self._tokenizer.pre_tokenizer
+        if normal is None or parted is None:
+            return None
+        seen = {c: [piece for piece, _ in parted.pre_tokenize_str(normal.normalize_str(c))] for c in LETTERS}
+        together = [piece for piece, _ in parted.pre_tokenize_str(normal.normalize_str(LETTERS))]
+        return {ord(c): seen[c][0] for c in LETTERS} if together == ["".join(map("".join, seen.values()))] else None
+
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        plain = {w: [t.id for t in self._model.tokenize(w.translate(self._letters))]
+                 for w in words if self._letters and _PLAIN.fullmatch(w)}
+        others = [w for w in words if w not in plain]
+        rest = self._tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        return {w: array("I", ids).tobytes() for w, ids in [*plain.items(), *zip(others, (e.ids for e in rest))]}
 
     def encode(self, text: str) -> np.ndarray:
         words = _WORDS.findall(text)
-        new = set(words).difference(self._kept)
-        if len(self._kept) + len(new) > KEPT_WORDS:
-            self._kept.clear()
-            new = set(words)
-        ids = self._kept
-        if new:
-            new = list(new)
-            found = {word: np.array(e.ids, dtype="<u4").tobytes()
-                     for word, e in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False))}
+        ids = list(map(self._kept.get, words))
+        if None in ids:
+            found = self._encoded(list({word for word, known in zip(words, ids) if known is None}))
+            if len(self._kept) + len(found) > KEPT_WORDS:
+                self._kept.clear()
             self._kept.update((w, i) for w, i in found.items() if len(w) <= KEPT_LENGTH)
-            ids = self._kept if all(len(w) <= KEPT_LENGTH for w in new) else self._kept | found
-        return np.frombuffer(b"".join([ids[w] for w in words]), dtype="<u4")
+            ids = [found[word] if known is None else known for word, known in zip(words, ids)]
+        return np.frombuffer(b"".join(ids), dtype=np.uint32)
 
 
 def _in_blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int) -> Iterator[pd.DataFrame]:
