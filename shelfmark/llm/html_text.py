@@ -80,6 +80,12 @@ class TreeBuilder(HTMLParser):
             self.end({"head"}, set())
         self.open[-1].children.append(data)
 
+    def parse_html_declaration(self, i: int) -> int:
+        """A marked section, known or not, is a comment up to the next >."""
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)
+        return super().parse_html_declaration(i)
+
     def push(self, tag: str, attrs: dict) -> None:
         node = Node(tag, attrs)
         self.open[-1].children.append(node)
@@ -263,6 +269,10 @@ def shown(node: Node, rules: Rules) -> tuple[bool, bool | None]:
 
 # ------------------------------------------------------------------------------- layout
 
+#: Levels of list items, quotes and tables that are set apart within each other.
+DEEPEST = 32
+
+
 class Lines:
     """Text being set: finished lines, the line at hand, and the blank lines owed before more text."""
 
@@ -392,11 +402,25 @@ def _steps(root: Node, rules: Rules) -> Iterator[tuple[str, Node | str, Node | N
                 stack.append((child, iter(child.children), seen))
 
 
+def _mark(item: Node, lists: list[list]) -> str:
+    """What stands before a list item, which counts on in an ordered list."""
+    if not lists or lists[-1][0] != "ol":
+        return "- "
+    number = _number(item.attrs.get("value", ""), -10 ** 9, 10 ** 9, lists[-1][1])
+    lists[-1][1] = number + lists[-1][2]
+    return f"{number}. "
+
+
 def render(root: Node, rules: Rules = {}) -> str:
-    """All visible text of a tree, laid out in lines."""
+    """All visible text of a tree, laid out in lines.
+
+    List items, quotes and cells are set apart down to ``DEEPEST`` levels; within these,
+    deeper ones are blocks of their own that are indented no further.
+    """
     setting = [Lines()]
-    tables: list[Table] = []
+    tables: list[Table | None] = []
     lists: list[list] = []      # tag and next number of each open list
+    own: list[bool] = []        # whether each open item, quote, cell or table is set apart
     verbatim = 0
     for step, node, parent in _steps(root, rules):
         out = setting[-1]
@@ -431,15 +455,16 @@ def render(root: Node, rules: Rules = {}) -> str:
         elif tag in ("li", "blockquote", "dd"):
             if entering:
                 out.block(1 if tag == "blockquote" else 0)
-                setting.append(Lines())
+                own.append(len(setting) <= DEEPEST)
+                if own[-1]:
+                    setting.append(Lines())
+                elif tag == "li":
+                    out.words(_mark(node, lists))
+            elif not own.pop():
+                out.block(1 if tag == "blockquote" else 0)
             else:
                 lines = setting.pop().finished()
-                mark = "  " if tag == "blockquote" else "    "
-                if tag == "li":
-                    mark = "- "
-                    if lists and lists[-1][0] == "ol":
-                        number = _number(node.attrs.get("value", ""), -10 ** 9, 10 ** 9, lists[-1][1])
-                        mark, lists[-1][1] = f"{number}. ", number + lists[-1][2]
+                mark = _mark(node, lists) if tag == "li" else "  " if tag == "blockquote" else "    "
                 first = mark if tag == "li" else " " * len(mark)
                 setting[-1].insert([((first if i == 0 else " " * len(mark)) + line).rstrip()
                                     for i, line in enumerate(lines)])
@@ -447,11 +472,17 @@ def render(root: Node, rules: Rules = {}) -> str:
         elif tag == "table":
             if entering:
                 out.block(1)
-                tables.append(Table())
+                own.append(len(setting) <= DEEPEST)
+                tables.append(Table() if own[-1] else None)
+            elif not own.pop():
+                tables.pop()
+                out.block(1)
             else:
                 out.line_end()
                 out.insert(tables.pop().lines())
                 out.block(1)
+        elif tag in ("tr", "td", "th") and tables and not tables[-1]:
+            out.block(0)
         elif tag == "tr" and tables:
             if entering:
                 tables[-1].row()
@@ -500,7 +531,8 @@ def page_texts(pages: DataFrame, html: str = "html", page_id: str = "page_id", u
 
     A NULL or empty page has an empty text and no title; broken markup is closed as the
     following tags imply. Pages are worked on each by itself, so ids may repeat or be
-    NULL, and an empty table gives no rows.
+    NULL, and an empty table gives no rows. Pages may be of any length and nest as deeply
+    as they like: nothing is left out, see ``render`` for how deep levels are set.
     """
     @F.pandas_udf("title string, text string")
     def extracted(sources: pd.Series) -> pd.DataFrame:

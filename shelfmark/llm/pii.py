@@ -2,8 +2,10 @@
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -53,7 +55,8 @@ def rule_spans(text: str) -> list[Span]:
     found = list(_emails(text))
     if _DIGIT.search(text):
         found += [("ip", *m.span()) for m in _IP.finditer(text)
-                  if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split("."))]
+                  if all(len(part) <= 3 and int(part or "0") <= 255
+                         for part in (digits.lstrip("0") for digits in m[0].split(".")))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 14 <= len(digits) <= 19 and luhn(digits):
@@ -68,6 +71,14 @@ def in_order(spans: Iterable[Span], kinds: Sequence[str]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], kinds.index(s[0]), s[2]))
 
 
+def untouched(spans: Iterable[Span], fixed: Sequence[Span]) -> list[Span]:
+    """Those of ``spans`` that share no character with any of ``fixed``, which come by start."""
+    starts = [f[1] for f in fixed]
+    # The furthest that the first so many of them reach.
+    reach = list(accumulate((f[2] for f in fixed), max, initial=0))
+    return [s for s in spans if reach[bisect_left(starts, s[2])] <= s[1]]
+
+
 def joined(spans: Iterable[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -245,8 +256,7 @@ def all_spans(texts: Sequence[str], chain: crf.Chain) -> list[tuple[list[Span],
     rules = [rule_spans(t) for t in texts]
     both = []
     for fixed, learnt in zip(rules, learnt_spans(texts, chain)):
-        new = [s for s in learnt if not any(s[1] < f[2] and f[1] < s[2] for f in fixed)]
-        both.append((fixed, in_order([*fixed, *new], KINDS)))
+        both.append((fixed, in_order([*fixed, *untouched(learnt, fixed)], KINDS)))
     return both
 
 
@@ -271,7 +281,8 @@ def find_private(docs: DataFrame, chain: crf.Chain | None = None, text: str = "t
                  doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, rule_spans, spans) of every row: arrays of (kind, start, end), in code points, end exclusive.
 
-    A NULL or empty text has none. Rows are labelled each by itself, so equal rows agree,
+    A NULL or empty text has none; a text of any length is read whole, though what the
+    field sees of a token is its first 80 characters. Rows are labelled each by itself, so equal rows agree,
     ids may repeat or be NULL, and an empty table gives no rows.
     """
     chain = chain or default_chain()
@@ -305,8 +316,9 @@ def masked_text(text: str, spans: Sequence[Span]) -> str:
 
 
 def mask(docs: DataFrame, chain: crf.Chain | None = None, text: str = "text") -> DataFrame:
-    """``docs`` in their columns, private data in the texts replaced; NULL stays NULL.
+    """``docs`` in their columns, private data in the texts replaced; NULL stays NULL, an empty text empty.
 
+    Equal rows stay equal, texts of any length are read whole, no rows give no rows.
     A column ``n_chars`` counts the characters again.
     """
     chain = chain or default_chain()

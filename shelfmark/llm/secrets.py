@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .pii import untouched
 from .trigrams import Query, query_of
 
 Span = tuple[str, int, int]
@@ -156,8 +157,8 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = MORE, text: str = "tex
         for segment in _segments(texts.tolist()):
             index = indexed(segment, every)
             for base, more in zip(scan(segment, BASE, index), scan(segment, rules, index)):
-                new = [s for s in more if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
-                rows.append((as_rows(in_order(base, kinds)), as_rows(in_order([*base, *new], kinds))))
+                base = in_order(base, kinds)
+                rows.append((as_rows(base), as_rows(in_order([*base, *untouched(more, base)], kinds))))
         return pd.DataFrame(rows, columns=["rules", "spans"])
 
     return docs.select(F.col(doc_id).alias("doc_id"),

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from shelfmark.llm import html_text
@@ -104,3 +106,36 @@ def test_pages(spark):
     got = html_text.page_texts(pages).collect()
     assert sorted(r["text"] for r in got) == ["", "a", "a"]
     assert html_text.page_texts(pages.limit(0)).count() == 0
+
+
+def test_marked_sections_are_comments():
+    assert html_text.extract("a<![foo[bar]]>b<![ foo>c<![if IE]>d<![endif]>e<![")[1] == "abcde"
+
+
+def test_random_markup_never_fails():
+    rng = random.Random(1)
+    bits = ["<", "</", ">", "<!", "<![", "[", "]]>", "<!--", "-->", '"', "'", "=", "/", "&", "&#", "&#x", ";", "table", "td",
+            "tr", "li", "ul", "p", "a", "style", "script", " ", "\n", "x", "<ul><li>", "<table>", "<td>", "<?", "\0", "é",
+            "<!doctype", "select", "option", "svg", "title", "textarea", "plaintext", "noscript", "iframe"]
+    for _ in range(10_000):
+        html_text.extract("".join(rng.choice(bits) for _ in range(rng.randint(1, 40))))
+
+
+@pytest.mark.parametrize("one", ["<ul><li>x", "<ol><li>x", "<blockquote>x", "<dl><dd>x", "<table><tr><td>x"])
+def test_deep_nesting_keeps_all_text_and_stays_small(one):
+    text = html_text.extract(one * 20_000)[1]
+    assert text.count("x") == 20_000 and len(text) < 4_000_000
+    # Down to the bound every level is set apart, as before.
+    assert html_text.extract("<ul><li>x" * 3)[1] == "- x\n  - x\n    - x"
+
+
+def test_numbers_go_on_below_the_bound(monkeypatch):
+    monkeypatch.setattr(html_text, "DEEPEST", 1)
+    assert html_text.extract("<ul><li>a<ol><li>b<li>c</ol></ul>")[1] == "- a\n  1. b\n  2. c"
+    assert html_text.extract("<table><tr><td>a<table><tr><td>b<td>c</table></table>")[1] == "a\n\nb\nc"
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a", "t", "x", "p")],
+                                  "page_id long, url string, html string, title string, text string, page string")
+    assert [tuple(r) for r in html_text.page_texts(pages).collect()] == [(1, "u", None, "a")]

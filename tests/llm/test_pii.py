@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -82,3 +83,27 @@ def test_mask(spark):
     got = {r["doc_id"]: r for r in pii.mask(docs).collect()}
     assert got[1]["text"] == "mail [EMAIL] or [PHONE] at [IP]."
     assert got[1]["n_chars"] == len(got[1]["text"]) and got[2]["text"] == "clean 1984"
+
+
+def test_long_runs_and_many_spans_take_little_time():
+    zeros = "0" * 10_000
+    assert pii.rule_spans(f"{zeros}.1.1.1 1{zeros}.1.1.1 {zeros}255.0.0.256") == [("ip", 0, 10_006)]
+    assert len(pii.rule_spans("user.name@mail.example.com " * 38_000)) == 38_000
+    spans = [("email", 10 * i, 10 * i + 8) for i in range(100_000)]
+    assert pii.untouched([("phone", start + 8, start + 10) for _, start, _ in spans], spans) == \
+        [("phone", start + 8, start + 10) for _, start, _ in spans]
+
+
+def test_untouched_against_all_pairs():
+    rng = random.Random(8)
+    for _ in range(300):
+        fixed = sorted((("a", s, s + rng.randint(1, 9)) for s in (rng.randint(0, 40) for _ in range(5))), key=lambda f: f[1])
+        spans = [("b", s, s + rng.randint(1, 6)) for s in (rng.randint(0, 45) for _ in range(6))]
+        assert pii.untouched(spans, fixed) == [s for s in spans if not any(s[1] < f[2] and f[1] < s[2] for f in fixed)]
+
+
+def test_long_digits_on_spark(spark):
+    docs = spark.createDataFrame([(1, "0" * 5000 + ".1.1.1"), (2, "9" * 10_000 + ".1.1.1"), (2, "a@b.cd " * 20_000)],
+                                 "doc_id long, text string")
+    assert sorted(len(r["rule_spans"]) for r in pii.find_private(docs).collect()) == [0, 1, 20_000]
+    assert pii.mask(docs).count() == 3
