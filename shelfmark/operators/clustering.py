@@ -1,26 +1,27 @@
 """K-Means groupings of a catalogue and an LDA topic model, on MLlib.
 
 A fit reads its input many times, so texts are turned into vectors once, the
-vectors kept, and every fit and prediction runs on those. The vectors lie in
-partitions given by a hash of the key, in the order of the key: clusters do not
-depend on the number of cores or on how the files were cut.
+vectors kept, and every fit and prediction runs on those. Clusters do not depend
+on the number of cores or on how the files were cut: ``kmeans`` adds up whole
+numbers. For the topic model alone the vectors are dealt by a hash of the key.
 """
 
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, LDA
-from pyspark.ml.feature import (IDF, CountVectorizerModel, HashingTF, StandardScaler, StopWordsRemover,
-                                Tokenizer, VectorAssembler)
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import (IDF, CountVectorizerModel, HashingTF, StopWordsRemover, Tokenizer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..checkpoints import checkpoint_dir, materialise, pin_partitions
 from ..functions.text import KEPT, KEYWORDS, letters_only, mentions
+from .kmeans import kmeans_model, scaler_model
 from .reports import label_counts
 
 SEED = 42
-# Partitions of what is fitted; raise it with the data, as another number draws other first centres.
+# Partitions of what the topic model is fitted to; raise it with the data.
 FIT_PARTITIONS = 16
 # Slots that words are hashed into for the topic model.
 TERM_SLOTS = 1 << 16
@@ -50,10 +51,6 @@ def _apply(stages: Sequence, df: DataFrame) -> DataFrame:
     return df
 
 
-def _kmeans(vectors: DataFrame, k: int, seed: int):
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-
-
 def keyword_inputs(df: DataFrame, keywords: Sequence[str], key: str = "book_id", title: str = "title",
                    text: str = "description", clean_keywords: bool = False) -> tuple[DataFrame, list[str]]:
     """key, title and a flag for each keyword; the names of the flags."""
@@ -85,7 +82,7 @@ def off_centre(predicted: DataFrame, model) -> DataFrame:
 
 def keyword_clusters(df: DataFrame, keywords: Sequence[str] = KEYWORDS, k: int = 10, seed: int = SEED,
                      key: str = "book_id", title: str = "title", text: str = "description",
-                     clean_keywords: bool = False, partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, PipelineModel]:
+                     clean_keywords: bool = False) -> tuple[DataFrame, PipelineModel]:
     """Records grouped by which keywords their text contains.
 
     Cleaning removes the hyphen from the text, so "self-help" is never found
@@ -93,21 +90,20 @@ def keyword_clusters(df: DataFrame, keywords: Sequence[str] = KEYWORDS, k: int =
     """
     flags, names = keyword_inputs(df, keywords, key, title, text, clean_keywords)
     assembler = VectorAssembler(inputCols=names, outputCol="features")
-    vectors = fixed_partitions(assembler.transform(flags).select(key, title, "features"), key, partitions)
-    model = _kmeans(vectors, k, seed)
+    vectors = materialise(assembler.transform(flags).select(key, title, "features"))
+    model = kmeans_model(vectors, k, seed)
     return model.transform(vectors).select(key, title, "cluster"), PipelineModel([assembler, model])
 
 
 def feature_clusters(df: DataFrame, columns: Sequence[str] = PROFILE, k: int = 10, seed: int = SEED,
-                     key: str = "book_id", title: str = "title",
-                     partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, PipelineModel]:
+                     key: str = "book_id", title: str = "title") -> tuple[DataFrame, PipelineModel]:
     """Records grouped by standardised numbers, NULL counting as 0."""
     numbers, names = feature_inputs(df, columns, key, title)
     assembler = VectorAssembler(inputCols=names, outputCol="features_raw")
-    raw = fixed_partitions(assembler.transform(numbers), key, partitions)
-    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True).fit(raw)
-    vectors = scaler.transform(raw)
-    model = _kmeans(vectors, k, seed)
+    numbers = materialise(numbers)
+    scaler = scaler_model(numbers, names)
+    vectors = materialise(scaler.transform(assembler.transform(numbers)))
+    model = kmeans_model(vectors, k, seed)
     shown = [n for n in names if n != "reviews_count"]
     return (model.transform(vectors).select(key, title, *shown, "cluster"),
             PipelineModel([assembler, scaler, model]))
@@ -121,22 +117,20 @@ def _tokens(text: str = "description_clean", stop_words: Sequence[str] | None =
 
 
 def tfidf_features(df: DataFrame, num_features: int = 1000, key: str = "book_id", title: str = "title",
-                   text: str = "description", partitions: int = FIT_PARTITIONS,
+                   text: str = "description",
                    stop_words: Sequence[str] | None = None) -> tuple[DataFrame, PipelineModel]:
     """Hashed term frequencies weighted by inverse document frequency."""
     stages = [*_tokens(stop_words=stop_words), HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features)]
-    counted = _apply(stages, cleaned_texts(df, key, title, text)).select(key, title, "raw_features")
-    counted = fixed_partitions(counted, key, partitions)
+    counted = materialise(_apply(stages, cleaned_texts(df, key, title, text)).select(key, title, "raw_features"))
     idf = IDF(inputCol="raw_features", outputCol="features").fit(counted)
     return idf.transform(counted).select(key, title, "features"), PipelineModel([*stages, idf])
 
 
 def text_clusters(df: DataFrame, k: int = 10, seed: int = SEED, num_features: int = 1000,
-                  key: str = "book_id", title: str = "title", text: str = "description",
-                  partitions: int = FIT_PARTITIONS) -> tuple[DataFrame, PipelineModel]:
+                  key: str = "book_id", title: str = "title", text: str = "description") -> tuple[DataFrame, PipelineModel]:
     """Records grouped by the TF-IDF vector of their text."""
-    vectors, weighting = tfidf_features(df, num_features, key, title, text, partitions)
-    model = _kmeans(vectors, k, seed)
+    vectors, weighting = tfidf_features(df, num_features, key, title, text)
+    model = kmeans_model(vectors, k, seed)
     return model.transform(vectors).select(key, title, "cluster"), PipelineModel([*weighting.stages, model])
 
 

@@ -1,6 +1,11 @@
+import random
+
+import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
 
-from shelfmark.operators import clustering as cl
+from shelfmark.operators import clustering as cl, kmeans
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +60,47 @@ def test_topics(books):
     assert assigned.count() == 59 and assigned.filter("topic NOT BETWEEN 0 AND 2").count() == 0
     assert topics.count() == 3
     assert all(len(r["terms"]) == len(r["termWeights"]) and None not in r["terms"] for r in topics.collect())
+
+
+def test_clusters_do_not_depend_on_partitions(spark):
+    rng = random.Random(6)
+    rows = [(i, f"T{i}", rng.uniform(0, 5), rng.randint(1, 900), int(rng.paretovariate(0.5)) % 10**7, rng.randint(0, 50))
+            for i in range(900)]
+    rows += [(1000 + i, "copy", 4.0, 300, 17, 3) for i in range(500)]        # a third and more are copies
+    table = spark.createDataFrame(rows, "book_id int, title string, average_rating double, num_pages int, "
+                                        "ratings_count int, text_reviews_count int")
+    found = []
+    for number in (4, 16, 200):
+        frame, model = cl.feature_clusters(table.repartition(number), k=6)
+        found.append(({r["book_id"]: r["cluster"] for r in frame.collect()},
+                      [c.tolist() for c in model.stages[-1].clusterCenters()]))
+    assert found[0] == found[1] == found[2]
+    assert len(set(found[0][0].values())) > 3
+
+
+def test_centres_are_means_and_as_good_as_the_librarys(spark):
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(5, 7)) * 10
+    points = np.concatenate([m + rng.normal(size=(80, 7)) for m in middles])
+    table = spark.createDataFrame([(Vectors.dense(p),) for p in points], ["features"]).repartition(6)
+    model = kmeans.kmeans_model(table, 5)
+    centres = np.array(model.clusterCenters())
+    apart = ((points[:, None] - centres) ** 2).sum(axis=2)
+    nearest = apart.argmin(axis=1)
+    assert np.allclose([points[nearest == c].mean(axis=0) for c in range(5)], centres, atol=1e-3)
+    other = KMeans(k=5, seed=1).fit(table)
+    assert apart.min(axis=1).sum() <= other.summary.trainingCost * 1.05
+
+
+def test_few_vectors_and_none(spark):
+    one = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 40, ["features"])
+    assert [c.tolist() for c in kmeans.kmeans_model(one, 4).clusterCenters()] == [[1.0, 2.0]]
+    assert kmeans.centres_of(one.limit(0), 4).shape == (0, 0)
+
+
+def test_scaling_from_decimals(spark):
+    rng = random.Random(2)
+    rows = [(rng.uniform(-5, 5), float(rng.randint(0, 10**7))) for _ in range(500)]
+    model = kmeans.scaler_model(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    assert np.allclose(model.mean.toArray(), np.mean(rows, axis=0), rtol=1e-9)
+    assert np.allclose(model.std.toArray(), np.std(rows, axis=0, ddof=1), rtol=1e-6)
