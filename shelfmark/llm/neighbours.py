@@ -168,12 +168,15 @@ def nearest(table: DataFrame, queries: Column | str, k: int = 10, vector: str =
     def searched(some: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(some) or not len(asked):
             return pd.DataFrame({"_query": [], "vec_id": [], "_row": [], "score": []})
-        ids = some["id"].astype("float64") if some["id"].isna().any() else some["id"]
-        return pd.concat(search(matrix(some["vector"]), ids.to_numpy(), some["key"].to_numpy(),
-                                matrix(asked["vector"]), asked["key"].to_numpy(), coder, k))
+        found = pd.concat(search(matrix(some["vector"]), some["id"].to_numpy(), some["key"].to_numpy(),
+                                 matrix(asked["vector"]), asked["key"].to_numpy(), coder, k))
+        unknown = found["_row"].isin(some["key"][~some["known"]])
+        return found.assign(vec_id=found["vec_id"].astype("Int64").mask(unknown))
 
     keys = ["block", "query_block"]
-    found = (of_row.select("id", "vector", "key", *keys).groupBy(*keys)
+    # NULL ids come last, under a number, as pandas would turn all ids beside them into doubles.
+    numbered = F.coalesce("id", F.lit((1 << 63) - 1)).alias("id")
+    found = (of_row.select(numbered, F.col("id").isNotNull().alias("known"), "vector", "key", *keys).groupBy(*keys)
              .cogroup(of_query.select("vector", "key", *keys).groupBy(*keys))
              .applyInPandas(searched, "_query long, vec_id long, _row long, score double"))
     # Spark keeps the k best of each task before they meet.

@@ -55,3 +55,16 @@ def test_awkward_vectors(spark):
     assert neighbours.nearest(table.filter("vec_id = 800"), "vec_id % 100 = 0", k=5).count() == 2
     assert neighbours.nearest(table.limit(0), "vec_id % 100 = 0").count() == 0
     assert neighbours.nearest(table.filter("vec_id = 100"), "vec_id % 100 = 0").count() == 0
+
+
+def test_large_ids_beside_null_ids(spark):
+    rng = np.random.default_rng(4)
+    base = (1 << 53) + 1
+    rows = [(base + i if i % 5 else None, v.tolist()) for i, v in enumerate(rng.normal(size=(40, 8)))]
+    rows += [((1 << 63) - 1, rows[1][1]), (base + 1, rows[1][1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(table, f"vec_id = {base + 1}", k=41).collect()
+    own = [r for r in got if r["query_id"] == base + 1]
+    assert len(own) == 2 * 41
+    met = [r["vec_id"] for r in own]
+    assert met.count(None) == 16 and {i for i in met if i is not None} == {i for i, _ in rows if i is not None}
