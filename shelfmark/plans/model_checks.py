@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..checkpoints import materialise
 from ..functions.numbers import rounded
 from ..operators import clustering, ratings as rt, recommend as rec
+from ..operators.top_items import top_items
 from ..sources import tables as tb
 from .checks import DEDUPED, INDEXED, RATED, SQL_LETTERS, TERMS, _indexed, _round, query
 
@@ -120,3 +121,22 @@ def items_with_titles(spark, sf):
     titled = tb.titled_ratings(spark, sf).filter("rating > 0")
     indexed = rt.frequency_index(titled, "book_id", "book_idx")
     return rec.item_lookup(indexed, rt.item_titles(titled)).select("book_id", "title")
+
+
+# Whole components, so that a score is the same in whatever order it is added up. Vectors are long or short by their id,
+# as the factors of known and unknown items are.
+WHOLE = """whole AS (SELECT vec_id, [floor(64 * x::DOUBLE) * (1 + vec_id % 5) for x in embedding] AS v
+  FROM embeddings WHERE len(embedding) = 64)"""
+
+
+@query(f"""WITH {WHOLE}, scored AS (SELECT u.vec_id AS user, i.vec_id AS item,
+    CAST(list_dot_product(u.v, i.v) AS FLOAT) AS score FROM whole u, whole i)
+SELECT user, item, CAST(score AS DOUBLE) AS score FROM scored
+QUALIFY row_number() OVER (PARTITION BY user ORDER BY score DESC, item) <= 10""")
+def inner_product_top(spark, sf):
+    """The ten vectors of greatest inner product for every vector: the longest are scored first, the others in blocks."""
+    vectors = tb.table(spark, sf, "embeddings").filter(F.size("embedding") == 64).select(
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda x: F.floor(64 * x.cast("double")).cast("double")
+                                                 * (1 + F.col("vec_id") % 5)).alias("features"))
+    found = top_items(vectors, vectors, 10, head=64, block_items=64, group_users=128).rows
+    return found.select("user", "item", F.col("score").cast("double").alias("score"))
