@@ -8,8 +8,10 @@ from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: A line longer than this is cut at the first end of a sentence past it.
-PARAGRAPH_CHARS = 160
+#: A line longer than the first is cut past it, before the second: at the end of a sentence, else of a word.
+PARAGRAPH_CHARS, LONGEST_PARAGRAPH = 160, 320
+#: The same for a text's first paragraph, which is kept short: a short text shares its beginning with its versions.
+FIRST_CHARS, LONGEST_FIRST = 16, 48
 #: A sketch has TABLES * SLOTS cells; a digest goes to one cell of each table.
 TABLES, SLOT_BITS = 3, 3
 SLOTS = 1 << SLOT_BITS
@@ -21,9 +23,18 @@ SAMPLED = 100
 
 
 def digests(text: Column) -> Column:
-    """The distinct 64-bit digests of the text's paragraphs: its lines, long ones cut after a sentence."""
-    paragraphs = F.regexp_extract_all(
-        text, F.lit(rf"[^\n]{{{PARAGRAPH_CHARS},}}?[.!?](?=\s)|[^\n]+"), F.lit(0))
+    """The distinct 64-bit digests of the text's paragraphs: its lines, long ones cut.
+
+    No paragraph is longer than ``LONGEST_PARAGRAPH`` characters, the first no longer than
+    ``LONGEST_FIRST`` beside line breaks before it. So texts that begin with the same 49
+    characters share a paragraph.
+    """
+    first, later = f"{FIRST_CHARS},{LONGEST_FIRST}", f"{PARAGRAPH_CHARS},{LONGEST_PARAGRAPH}"
+    before_stop = f"{PARAGRAPH_CHARS - 1},{LONGEST_PARAGRAPH - 1}"
+    pattern = "|".join([rf"\A\n*+[^\n]{{{first}}}?(?=\s)", rf"\A\n*+[^\n]{{1,{LONGEST_FIRST}}}",
+                        rf"[^\n]{{{before_stop}}}?[.!?](?=\s)", rf"[^\n]{{{later}}}?(?=\s)",
+                        rf"[^\n]{{1,{LONGEST_PARAGRAPH}}}"])
+    paragraphs = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.array_distinct(F.transform(paragraphs, lambda p: F.xxhash64(p)))
 
 
