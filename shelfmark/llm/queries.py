@@ -176,10 +176,12 @@ SQL: dict[str, str] = {
             SELECT s.doc_id, s.size, b.source_size, b.target, b.copies,
                    coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place
                                               RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
-                   sum(s.size) OVER (PARTITION BY s.source, s.place) AS together
+                   sum(s.size) OVER (PARTITION BY s.source, s.place) AS together,
+                   count(*) OVER (PARTITION BY s.source, s.place) AS alike,
+                   row_number() OVER (PARTITION BY s.source, s.place) AS number
             FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source)
         SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-               CAST(size * (copies + CASE WHEN before + together / 2.0 < target - copies * source_size
+               CAST(size * (copies + CASE WHEN before + (number - 0.5) * together / alike < target - copies * source_size
                                           THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM running""",
 }

@@ -1,10 +1,13 @@
 import re
 from collections import defaultdict
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.llm import mixing
+from shelfmark.llm.queries import SQL
 
 
 def water_fill(sizes, weights, share, most):
@@ -61,6 +64,35 @@ def test_empty_and_wordless_tables(spark, nothing):
     assert [(r["size"], r["target"], r["taken"]) for r in mixing.mix_plan(blank).collect()] == [(0, 0.0, 0)] * 2
 
 
+def test_repeated_rows_come_near_their_target(spark, monkeypatch):
+    """A source that is one row many times over, NULL ids among them, beside ordinary ones."""
+    monkeypatch.setattr(mixing, "RUN_BITS", 4)
+    rows = ([(None, "three words here", "a")] * 900 + [(7, "two words", None)] * 500
+            + [(k, "w " * (k % 9), "b") for k in range(400)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    plan = mixing.mix_plan(docs)
+    got = plan.collect()
+    assert len(got) == len(rows)
+    for source_size, most in ((2700, 3), (1000, 2), (sum(k % 9 for k in range(400)), 8)):
+        own = [r for r in got if r["source_size"] == source_size]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= most / 2 + 1e-6
+        assert all(r["taken"] <= 2 * r["size"] for r in own)
+    parts = [r for r in got if r["doc_id"] is None]
+    assert {r["copies"] for r in parts} == {1, 2} or {r["copies"] for r in parts} == {0, 1}
+    key = ["doc_id", "size", "taken"]
+    again = mixing.mix_plan(docs.repartition(11)).select(*key).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, plan.select(*key).collect()))
+    mixed = mixing.mix(docs.withColumn("_mix_place", F.lit("x")).withColumn("_mix_taken", F.lit(9)))
+    assert mixed.columns == ["doc_id", "text", "source", "_mix_place", "_mix_taken"]
+    assert mixed.agg(F.sum(mixing.words("text"))).first()[0] == sum(r["taken"] for r in got)
+    with duckdb.connect() as db:
+        db.register("documents", pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"),
+                                               "text": [r[1] for r in rows], "source": [r[2] for r in rows]}))
+        by_sql = db.sql(SQL["op8_mixing"]).select("doc_id, size, taken").fetchall()
+    assert sorted(map(repr, by_sql)) == sorted(repr((r["doc_id"], r["size"], r["taken"])) for r in got)
+    assert mixed.count() == sum(r["copies"] for r in got)
+
+
 def test_no_python_in_the_plan(awkward):
     plan = mixing.mix_plan(awkward)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
