@@ -58,6 +58,27 @@ def test_most_pairs_stay_unscored(spark):
     assert got == {(u, i) for u, i, _ in brute(users, items, 10)}
 
 
+def test_vectors_that_point_one_way(spark):
+    """Factors of ratings without structure: all are about as long, but few items lie far enough out to reach a floor."""
+    rng = np.random.default_rng(3)
+    mixed = np.eye(4) + rng.normal(size=(4, 4)) / 4
+    users = np.abs(rng.normal(size=(300, 4))).round(2)
+    items = np.abs(1 + rng.normal(size=(6000, 4)) @ mixed / 16).round(3)
+    found = top_items(frame(spark, users), frame(spark, items), 3, head=200, block_items=200, group_users=100)
+    assert found.effort.first()["scored"] < 0.2 * 300 * 6000
+    assert {(u, i) for u, i, _ in rows(found)} == {(u, i) for u, i, _ in brute(users, items, 3)}
+
+
+def test_users_move_once(spark):
+    """What is sent grows with users and items, not with users times blocks."""
+    rng = np.random.default_rng(4)
+    users, items = rng.normal(size=(200, 16)).round(2), rng.normal(size=(1500, 16)).round(2)
+    found = top_items(frame(spark, users), frame(spark, items), 5, head=20, block_items=10, group_users=50)
+    plan = found.rows._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Window" not in plan
+    assert {(u, i) for u, i, _ in rows(found)} == {(u, i) for u, i, _ in brute(users, items, 5)}
+
+
 def test_blocks_needed():
     longest = np.array([5.0, 3.0, 1.0, 0.0])
     floor = np.array([-np.inf, 0.0, 6.0, 6.1, 100.0, -2.0, 7.0], np.float32)
