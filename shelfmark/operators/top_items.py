@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..checkpoints import materialise
 
@@ -266,6 +266,10 @@ def top_items(users: DataFrame, items: DataFrame, k: int, head: int = HEAD, bloc
     scored = F.lit(len(first_ids)).cast("long")
     if n_blocks:
         rows = rows.unionByName(_from_blocks(after.filter("blocks > 0"), rest, k, width, group_users, shape))
+        if not after.groupBy("user").count().filter("count > 1").isEmpty():
+            # Users of one id share a list.
+            best = F.row_number().over(Window.partitionBy("user").orderBy(F.desc("score"), "item"))
+            rows = rows.withColumn("_place", best).filter(F.col("_place") <= k).drop("_place")
         scored = scored + F.element_at(F.lit([int(s) for s in sizes]), F.col("blocks") + 1)
     effort = after.agg(F.count(F.lit(1)).alias("users"), F.coalesce(F.sum(scored), F.lit(0)).alias("scored")).select(
         "users", F.lit(count).cast("long").alias("items"), (F.col("users") * count).alias("pairs"), "scored")

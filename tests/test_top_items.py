@@ -79,6 +79,13 @@ def test_users_move_once(spark):
     assert {(u, i) for u, i, _ in rows(found)} == {(u, i) for u, i, _ in brute(users, items, 5)}
 
 
+def test_users_of_one_id_share_a_list(spark):
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], SCHEMA)
+    items = spark.createDataFrame([(10 + i, [float(i), float(20 - 2 * i)]) for i in range(12)], SCHEMA)
+    got = rows(top_items(users, items, 3, head=4, block_items=2, group_users=1))
+    assert got == {(1, 10, 20.0), (1, 11, 18.0), (1, 12, 16.0), (2, 10, 20.0), (2, 11, 19.0), (2, 12, 18.0)}
+
+
 def test_blocks_needed():
     longest = np.array([5.0, 3.0, 1.0, 0.0])
     floor = np.array([-np.inf, 0.0, 6.0, 6.1, 100.0, -2.0, 7.0], np.float32)
