@@ -19,14 +19,31 @@ from pyspark.mllib.common import _py2java
 from pyspark.mllib.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
+from ..checkpoints import materialise
+
 #: Rounds of the seeding, each of which draws some OVERSAMPLING * k rows; more only while there are too few seeds.
 SEED_ROUNDS, MOST_SEED_ROUNDS, OVERSAMPLING = 3, 20, 2
 MAX_ROUNDS, TOLERANCE = 20, 1e-4
 
 
-def _points(batch: pa.RecordBatch, dimensions: int, scale: float) -> np.ndarray:
-    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dimensions)
-    return np.rint(x * scale)
+#: Components that are spread out at once.
+SPREAD = 1 << 20
+
+
+def _points(batch: pa.RecordBatch, dimensions: int, scale: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The points of a batch with their draws, some rows at a time; only components that are not zero are stored."""
+    ends = batch.column("at").offsets.to_numpy()
+    at = batch.column("at").values.to_numpy(zero_copy_only=False)
+    values = np.rint(batch.column("x").values.to_numpy(zero_copy_only=False) * scale)
+    draws = batch.column("draw").to_numpy(zero_copy_only=False)
+    shift = ends - batch.column("x").offsets.to_numpy()
+    step = max(1, SPREAD // max(dimensions, 1))
+    for begin in range(0, batch.num_rows, step):
+        end = min(begin + step, batch.num_rows)
+        low, high = ends[begin], ends[end]
+        q = np.zeros((end - begin, dimensions))
+        q[np.repeat(np.arange(end - begin), np.diff(ends[begin:end + 1])), at[low:high]] = values[low - shift[0]:high - shift[0]]
+        yield q, draws[begin:end]
 
 
 def _apart(q: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -46,27 +63,38 @@ class _Grid:
     def __init__(self, vectors: DataFrame, features: str, seed: int):
         # The other columns tell copies of a vector apart, each of which has a draw of its own.
         others = [c for c in vectors.columns if c != features]
-        points = vectors.select(vector_to_array(features).alias("x"), F.xxhash64(
-            F.lit(seed), vector_to_array(features), *others).alias("draw"))
-        self.rows, self.seed = points, seed
-        size = F.array_max(F.transform("x", lambda v: F.abs(v)))
-        found = points.agg(F.max(F.size("x")).alias("dimensions"), F.max(size).alias("most")).first()
+        points = vectors.select(vector_to_array(features).alias("_all"), *others)
+        full = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size("_all") - 1).alias("at"), F.col("_all").alias("x")),
+                        lambda c: c["x"] != 0)
+        # Stored once as what is not zero, as texts have few of the words there are; each round reads it all.
+        self.rows = materialise(points.select(
+            full.alias("full"), F.size("_all").alias("size"), F.xxhash64(F.lit(seed), "_all").alias("place"),
+            F.xxhash64(F.lit(seed), "_all", *others).alias("draw")).select(
+            F.col("full.at").alias("at"), F.col("full.x").alias("x"), "size", "place", "draw"))
+        most = F.array_max(F.transform("x", lambda v: F.abs(v)))
+        found = self.rows.agg(F.max("size").alias("dimensions"), F.max(F.coalesce(most, F.lit(0.0))).alias("most")).first()
         self.dimensions = found["dimensions"] or 0
         # 4 * dimensions * size ** 2 stays below 2 ** 52.
         bits = (50 - max(self.dimensions, 1).bit_length()) // 2
         self.scale = 2.0 ** (bits - frexp(found["most"] or 1.0)[1])
 
-    def first(self) -> list:
-        return self.rows.orderBy(F.xxhash64(F.lit(self.seed), "x"), "x").limit(1).collect()
+    def first(self) -> np.ndarray | None:
+        """The point that comes first by the hash of its components."""
+        row = self.rows.orderBy("place", "at", "x").select("at", "x").first()
+        if row is None:
+            return None
+        point = np.zeros((1, self.dimensions))
+        point[0, row["at"]] = row["x"]
+        return np.rint(point * self.scale)
 
     def over_tasks(self, work, schema: str) -> DataFrame:
-        """``work`` of the points of each batch and their batch."""
+        """``work`` of the points of each task and their draws."""
         dimensions, scale = self.dimensions, self.scale
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from work((_points(b, dimensions, scale), b) for b in batches if b.num_rows)
+            yield from work(part for b in batches if b.num_rows for part in _points(b, dimensions, scale))
 
-        return self.rows.mapInArrow(run, schema)
+        return self.rows.select("at", "x", "draw").mapInArrow(run, schema)
 
     def cost(self, centres: np.ndarray) -> int:
         def work(parts):
@@ -78,8 +106,8 @@ class _Grid:
     def drawn(self, centres: np.ndarray, cost: int, wanted: int, turn: int) -> np.ndarray:
         """Distinct points, each of their rows drawn with a chance in proportion to its squared distance."""
         def work(parts):
-            for q, batch in parts:
-                mixed = (batch.column("draw").to_numpy().view(np.uint64) ^ np.uint64(turn)) * np.uint64(0x9E3779B97F4A7C15)
+            for q, draws in parts:
+                mixed = (draws.view(np.uint64) ^ np.uint64(turn)) * np.uint64(0x9E3779B97F4A7C15)
                 chance = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(11)
                 near = _apart(q, centres).min(axis=1)
                 picked = q[chance * 2.0 ** -53 * cost < wanted * near]
@@ -97,8 +125,8 @@ class _Grid:
             for q, _ in parts:
                 nearest = _apart(q, centres).argmin(axis=1)
                 counts += np.bincount(nearest, minlength=k)
-                for c in np.unique(nearest) if sums else ():
-                    totals[c] += q[nearest == c].sum(axis=0).astype(np.int64)
+                if sums:        # of whole numbers, a batch's sum of which is exact in a double
+                    totals += ((nearest == np.arange(k)[:, None]).astype(np.float64) @ q).astype(np.int64)
             met = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({
                 "c": met.astype(np.int32), "n": counts[met],
@@ -145,11 +173,9 @@ def centres_of(vectors: DataFrame, k: int, seed: int = 42, features: str = "feat
     than ``k`` are their own centres; without vectors there are none.
     """
     grid = _Grid(vectors, features, seed)
-    first = grid.first()
-    if not first:
+    candidates, turn = grid.first(), 0
+    if candidates is None:
         return np.zeros((0, grid.dimensions))
-    candidates = np.rint(np.array([first[0]["x"]]) * grid.scale)
-    turn = 0
     # The cost is zero once every distinct vector is a candidate.
     while (turn < SEED_ROUNDS or len(candidates) < k and turn < MOST_SEED_ROUNDS) and (cost := grid.cost(candidates)):
         drawn = grid.drawn(candidates, cost, OVERSAMPLING * k, turn)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from shelfmark.operators import clustering as cl, kmeans
 
@@ -104,3 +105,23 @@ def test_scaling_from_decimals(spark):
     model = kmeans.scaler_model(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
     assert np.allclose(model.mean.toArray(), np.mean(rows, axis=0), rtol=1e-9)
     assert np.allclose(model.std.toArray(), np.std(rows, axis=0, ddof=1), rtol=1e-6)
+
+
+def test_points_are_stored_as_what_is_not_zero(spark):
+    """Rounds read that, not all components of every text; centres are those of the same vectors written out."""
+    rows = [(i, [(i * 37) % 1000, 1000 + (i * i) % 500], [1.0 + i % 3, 2.5 + i % 7]) for i in range(400)]
+    sparse = spark.createDataFrame([(i, Vectors.sparse(1500, sorted(zip(at, x)))) for i, at, x in rows], ["id", "features"])
+    dense = spark.createDataFrame([(i, Vectors.dense(v.toArray())) for i, v in sparse.collect()], sparse.schema)
+    grid = kmeans._Grid(sparse, "features", 42)
+    assert grid.dimensions == 1500 and grid.rows.agg(F.sum(F.size("at"))).first()[0] == 800
+    assert (kmeans.centres_of(sparse, 4) == kmeans.centres_of(dense, 4)).all()
+
+
+def test_rows_off_their_centre_are_counted(spark):
+    table = spark.createDataFrame([(i, Vectors.dense([float(i % 5) * 10, 1.0])) for i in range(50)], ["id", "features"])
+    model = kmeans.kmeans_model(table, 5)
+    found = model.transform(table)
+    assert cl.off_centre(found, model).first() == (50, 0)
+    wrong = found.withColumn("cluster", F.when(F.col("id") < 7, (F.col("cluster") + 1) % 5).otherwise(F.col("cluster")))
+    assert cl.off_centre(wrong, model).first() == (50, 7)
+    assert cl.off_centre(found.limit(0), model).first() == (0, 0)
