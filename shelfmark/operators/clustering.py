@@ -6,8 +6,10 @@ on the number of cores or on how the files were cut: ``kmeans`` adds up whole
 numbers. For the topic model alone the vectors are dealt by a hash of the key.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import (IDF, CountVectorizerModel, HashingTF, StopWordsRemover, Tokenizer,
@@ -72,12 +74,23 @@ def feature_inputs(df: DataFrame, columns: Sequence[str] = PROFILE, key: str = "
 
 def off_centre(predicted: DataFrame, model) -> DataFrame:
     """(records, violations): rows in all, and rows whose cluster is not that of the nearest centre."""
-    point = vector_to_array("features")
-    apart = F.array(*[F.aggregate(F.zip_with(point, F.lit([float(x) for x in centre]), lambda a, b: (a - b) * (a - b)),
-                                  F.lit(0.0), lambda a, v: a + v) for centre in model.clusterCenters()])
-    measured = predicted.select("cluster", apart.alias("apart"))
-    farther = F.get("apart", "cluster") > F.array_min("apart") * (1 + 1e-9) + 1e-9
-    return measured.agg(F.count(F.lit(1)).alias("records"), F.count_if(farther).alias("violations"))
+    centres = np.array([c for c in model.clusterCenters()])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records = violations = 0
+        for batch in batches:
+            points, own = batch.column("point"), batch.column("cluster").to_numpy(zero_copy_only=False)
+            for begin in range(0, batch.num_rows, 1024):
+                some = points.slice(begin, 1024).flatten().to_numpy(zero_copy_only=False).reshape(-1, centres.shape[1])
+                apart = np.stack([((some - c) ** 2).sum(axis=1) for c in centres])
+                cluster = own[begin:begin + 1024]
+                violations += int((apart[cluster, np.arange(len(some))] > apart.min(axis=0) * (1 + 1e-9) + 1e-9).sum())
+                records += len(some)
+        yield pa.RecordBatch.from_pydict({"records": pa.array([records]), "violations": pa.array([violations])})
+
+    measured = predicted.select(vector_to_array("features").alias("point"), "cluster")
+    return measured.mapInArrow(counted, "records long, violations long").agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"))
 
 
 def keyword_clusters(df: DataFrame, keywords: Sequence[str] = KEYWORDS, k: int = 10, seed: int = SEED,
