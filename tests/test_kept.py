@@ -47,6 +47,12 @@ def test_als_blocks_follow_the_ratings():
     assert als_blocks(1000) == 10 and als_blocks(250 * RATINGS_PER_BLOCK + 1) == 251
 
 
+def test_als_blocks_are_no_more_than_memory_asks_for():
+    """Vectors go to every block that rates them: 29 million ratings took 29 blocks, 173 million of rank 8 took 173."""
+    assert als_blocks(29_000_000) == 10 and als_blocks(173_000_000, 8) == 11
+    assert als_blocks(173_000_000, 50) == 44 and als_blocks(173_000_000, 200) > 100
+
+
 def test_bulk_bodies(spark):
     lines = spark.range(0, 2345, 1, 3).select(F.concat(F.lit("a"), "id").alias("value"))
     bodies = files.bulk_batches(lines, 100).collect()
