@@ -3,7 +3,7 @@
 A fit reads its input many times, so texts are turned into vectors once, the
 vectors kept, and every fit and prediction runs on those. Clusters do not depend
 on the number of cores or on how the files were cut: ``kmeans`` adds up whole
-numbers. For the topic model alone the vectors are dealt by a hash of the key.
+numbers. For the topic model alone the texts are dealt by a hash of the key, for its start.
 """
 
 from collections.abc import Iterator, Sequence
@@ -11,19 +11,19 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import (IDF, CountVectorizerModel, HashingTF, StopWordsRemover, Tokenizer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..checkpoints import checkpoint_dir, materialise, pin_partitions
+from ..checkpoints import materialise, pin_partitions
 from ..functions.text import KEPT, KEYWORDS, letters_only, mentions
 from .kmeans import kmeans_model, scaler_model
 from .reports import label_counts
+from .topic_model import topic_model
 
 SEED = 42
-# Partitions of what the topic model is fitted to; raise it with the data.
+# Partitions in which the start of the topic model is drawn; raise it with the data.
 FIT_PARTITIONS = 16
 # Slots that words are hashed into for the topic model.
 TERM_SLOTS = 1 << 16
@@ -152,8 +152,8 @@ def cluster_sizes(clustered: DataFrame) -> DataFrame:
 
 
 def term_slots(words: str, slots: int) -> Column:
-    """The slot of each word, as text: a hash, so that no list of words has to be agreed on."""
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("string"))
+    """The slot of each word: a hash, so that no list of words has to be agreed on."""
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(slots)).cast("int"))
 
 
 def lda_topics(df: DataFrame, k: int = 8, terms: int = 10, max_iter: int = 10, slots: int = TERM_SLOTS,
@@ -172,13 +172,11 @@ def lda_topics(df: DataFrame, k: int = 8, terms: int = 10, max_iter: int = 10, s
         key, title, F.filter("filtered_words", lambda w: w != "").alias("filtered_words")))
     counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(slots)], inputCol="slots",
                                                    outputCol="features")
-    counted = counter.transform(tokens.withColumn("slots", term_slots("filtered_words", slots)))
-    vectors = fixed_partitions(counted.select(key, title, "features"), key, partitions)
-    checkpoint_dir(df.sparkSession)
-    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="em", checkpointInterval=5, featuresCol="features",
-              topicDistributionCol="topic_weights").fit(vectors)
+    placed = tokens.withColumn("slots", term_slots("filtered_words", slots))
+    lda = topic_model(placed, k, max_iter, slots, partitions, seed, key, "slots")
 
-    weights = lda.transform(vectors).select(key, title, vector_to_array("topic_weights").alias("_w"))
+    vectors = counter.transform(placed.withColumn("slots", F.col("slots").cast("array<string>")))
+    weights = lda.transform(vectors.select(key, title, "features")).select(key, title, vector_to_array("topic_weights").alias("_w"))
     heaviest = F.nullif(F.array_max("_w"), F.lit(0.0))
     assigned = weights.select(key, title, (F.array_position("_w", heaviest) - 1).cast("int").alias("topic"),
                               heaviest.alias("weight"), F.aggregate("_w", F.lit(0.0), lambda a, w: a + w).alias("total"))
