@@ -11,6 +11,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from string import ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -29,9 +30,9 @@ PARTED = b"\n"
 #: Words whose ids a worker keeps, and the longest of them.
 KEPT_WORDS, KEPT_LENGTH = 1_000_000, 48
 # No id goes across white space, nor from a letter to the sign after it. So a word of letters and
-# the signs that end it are taken apart, but only these: an apostrophe or a combining mark may join.
-_WORDS = re.compile("(?<![^\x20\x09-\x0D])[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?]*(?:[\x20\x09-\x0D]|$))"
-                    "|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,;:!?]+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]+")
+# the signs that end it are taken apart, but only these: an apostrophe or a combining mark may join,
+# and a special id of the vocabulary may be written in angle brackets and bars.
+_ENDED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]+)")
 
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: The letters that ``_PLAIN`` holds.
@@ -53,13 +54,19 @@ def _words(path: str) -> "Words":
     return Words(path)
 
 
-class Words:
-    """Ids of texts, word by word, for vocabularies that drop white space: a word that was met keeps its ids."""
+class Words(dict):
+    """Ids of texts, word by word, for vocabularies that drop white space: a word that was met keeps its ids.
+
+    Words and ids are bytes, the latter of 32 bits each.
+    """
 
     def __init__(self, path: str):
-        self._tokenizer, self._kept = _tokenizer(path), {}
+        super().__init__()
+        self._tokenizer = _tokenizer(path)
         self._model = self._tokenizer.model
         self._letters = self._as_the_model_sees()
+        self._cases_alike = self._letters is not None and all(
+            self._letters[ord(c)] == self._letters[ord(c.lower())] for c in ascii_uppercase)
 
     def _as_the_model_sees(self) -> dict[int, str] | None:
         """What each letter becomes before the model, if all that happens to a run of them happens letter by letter."""
@@ -70,23 +77,29 @@ class Words:
         together = [piece for piece, _ in parted.pre_tokenize_str(normal.normalize_str(LETTERS))]
         return {ord(c): seen[c][0] for c in LETTERS} if together == ["".join(map("".join, seen.values()))] else None
 
-    def _encoded(self, words: list[str]) -> dict[str, bytes]:
-        plain = {w: [t.id for t in self._model.tokenize(w.translate(self._letters))]
-                 for w in words if self._letters and _PLAIN.fullmatch(w)}
-        others = [w for w in words if w not in plain]
-        rest = self._tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        return {w: array("I", ids).tobytes() for w, ids in [*plain.items(), *zip(others, (e.ids for e in rest))]}
+    def _kept(self, word: bytes, ids: bytes) -> bytes:
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        if self._cases_alike and word.isalpha() and not word.islower():
+            return self._kept(word, self[word.lower()])
+        text = word.decode()
+        if self._letters and _PLAIN.fullmatch(text):
+            return self._kept(word, array("I", [t.id for t in self._model.tokenize(text.translate(self._letters))]).tobytes())
+        if ended := _ENDED.fullmatch(text):
+            letters, signs = (part.encode() for part in ended.groups())
+            # With its signs a word is kept once it is met again, as most are not.
+            known, ids = letters in self, self[letters] + self[signs]
+            return self._kept(word, ids) if known else ids
+        return self._kept(word, array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
 
     def encode(self, text: str) -> np.ndarray:
-        words = _WORDS.findall(text)
-        ids = list(map(self._kept.get, words))
-        if None in ids:
-            found = self._encoded(list({word for word, known in zip(words, ids) if known is None}))
-            if len(self._kept) + len(found) > KEPT_WORDS:
-                self._kept.clear()
-            self._kept.update((w, i) for w, i in found.items() if len(w) <= KEPT_LENGTH)
-            ids = [found[word] if known is None else known for word, known in zip(words, ids)]
-        return np.frombuffer(b"".join(ids), dtype=np.uint32)
+        # Bytes are parted at the white space of ASCII alone, as words are.
+        return np.frombuffer(b"".join(map(self.__getitem__, text.encode().split())), dtype=np.uint32)
 
 
 def _in_blocks(batches: Iterator[pd.DataFrame], path: str, end_id: int, block_ids: int) -> Iterator[pd.DataFrame]:

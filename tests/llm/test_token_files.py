@@ -99,6 +99,28 @@ def test_words_are_forgotten_when_there_are_too_many(monkeypatch):
         assert few.encode(text).tobytes() + b"\x02\0\0\0" == whole(text)
 
 
+@given(st.text(st.sampled_from("aBÉsß '\"!#$%&()*+,-./:;<=>?@[\\]^_`{|}~9\x1c\x85\xa0\u0301\u0338"), max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_signs_after_letters_are_the_whole_text(text):
+    assert words.encode(text).tobytes() + b"\x02\0\0\0" == whole(text)
+    for c in map(chr, range(33, 127)):
+        assert words.encode(f"Été{c} x{c}{c}").tobytes() + b"\x02\0\0\0" == whole(f"Été{c} x{c}{c}")
+
+
+def test_case_and_signs_ask_the_model_once():
+    few, asked = token_files.Words(PATH), []
+    model = few._model
+
+    class Asked:
+        def tokenize(self, word):
+            asked.append(word)
+            return model.tokenize(word)
+
+    few._model = Asked()
+    text = "River river RIVER river*** river, River$$$ river***"
+    assert few.encode(text).tobytes() + b"\x02\0\0\0" == whole(text) and asked == ["river"]
+
+
 def check(spark, docs, path, **how):
     token_files.write_tokens(docs, path, PATH, 2, **how)
     got = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r["start"])
