@@ -16,6 +16,8 @@ import numpy as np
 
 #: Frequencies add up to 2 ** SCALE_BITS; more ids than a quarter of that take more bits.
 SCALE_BITS, MAX_SCALE_BITS = 20, 30
+#: Ids below this are looked up in a list, larger ones searched for.
+LISTED = 1 << 22
 #: A state lies between 2 ** 31 and 2 ** 63 and gives off 32 bits at a time.
 LOWEST = 1 << 31
 LANES = 1024
@@ -71,6 +73,23 @@ class Table:
         """For each of the 2 ** bits slots, which id it belongs to."""
         return np.repeat(np.arange(len(self.ids), dtype=np.uint32), self.frequencies.astype(np.int64))
 
+    @cached_property
+    def _places(self) -> np.ndarray:
+        """For each number up to the largest id, which id it is, or none."""
+        places = np.full(int(self.ids[-1]) + 1, -1, dtype=np.int64)
+        places[self.ids] = np.arange(len(self.ids))
+        return places
+
+    def symbols(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the table's ids each one is; looked up, unless ids are too large for such a list."""
+        if not len(ids):
+            return np.zeros(0, dtype=np.int64)
+        if len(self.ids) and ids.max() <= self.ids[-1]:
+            found = self._places[ids] if self.ids[-1] < LISTED else np.searchsorted(self.ids, ids)
+            if found.min() >= 0 and not np.any(self.ids[found] != ids):
+                return found
+        raise ValueError("an id that the table does not know")
+
     def to_bytes(self) -> bytes:
         body = self.ids.astype("<u4").tobytes() + self.frequencies.astype("<u4").tobytes()
         return _TABLE.pack(_TABLE_MAGIC, self.bits, len(self.ids), zlib.crc32(body)) + body
@@ -101,9 +120,7 @@ def encode_block(ids: np.ndarray, table: Table, doc_ids: Sequence[int | None], l
     """The ids of some documents as a block: header, documents, checkpoints, code words, each with a checksum."""
     count = len(ids)
     lanes = _lanes(count)
-    symbols = np.searchsorted(table.ids, ids)
-    if count and (symbols.max() >= len(table.ids) or np.any(table.ids[symbols] != ids)):
-        raise ValueError("an id that the table does not know")
+    symbols = table.symbols(ids)
     steps, every = -(-count // lanes), max(1, CHECKPOINT // lanes)
     bits = np.uint64(table.bits)
     room = np.uint64((LOWEST >> table.bits) << 32)

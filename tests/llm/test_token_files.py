@@ -55,6 +55,18 @@ def test_rare_ids_keep_a_frequency_and_one_id_is_fine():
         rans.encode_block(np.array([4], dtype=np.uint32), one, [1], [1])
 
 
+def test_large_ids_are_searched_for_and_small_ones_looked_up():
+    for last in (70, rans.LISTED + 5):
+        table = rans.Table.of_counts([3, 9, 40, last], [1, 2, 3, 4])
+        assert table.symbols(np.array([40, 3, last, 9, 3], dtype=np.uint32)).tolist() == [2, 0, 3, 1, 0]
+        assert table.symbols(np.zeros(0, dtype=np.uint32)).tolist() == []
+        for other in (0, 8, 41, last - 1, last + 1):
+            with pytest.raises(ValueError):
+                table.symbols(np.array([3, other], dtype=np.uint32))
+    with pytest.raises(ValueError):
+        rans.Table.of_counts([], []).symbols(np.array([0], dtype=np.uint32))
+
+
 def test_damage_is_noticed():
     ids = skewed(5000)
     table = rans.Table.of_counts(*np.unique(ids, return_counts=True))
