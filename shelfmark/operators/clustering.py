@@ -20,7 +20,7 @@ from ..checkpoints import materialise, pin_partitions
 from ..functions.text import KEPT, KEYWORDS, letters_only, mentions
 from .kmeans import kmeans_model, scaler_model
 from .reports import label_counts
-from .topic_model import topic_model
+from .topic_model import predicted, topic_model
 
 SEED = 42
 # Partitions in which the start of the topic model is drawn; raise it with the data.
@@ -165,18 +165,20 @@ def lda_topics(df: DataFrame, k: int = 8, terms: int = 10, max_iter: int = 10, s
     Expectation maximisation, so every iteration reads every text, and every word counts:
     words are hashed into ``slots``, a size of the model as ``k`` is. A slot goes by its
     most frequent word, looked up in a table of words and counts that Spark makes. Texts
-    are tokenised once. ``topic`` and ``weight`` are NULL for texts of stop words alone.
+    are tokenised once for the fit, and once more if the terms of the topics are asked for.
+    ``topic`` and ``weight`` are NULL for texts of stop words alone.
     """
     stages = _tokens(stop_words=stop_words)
-    tokens = materialise(_apply(stages, cleaned_texts(df, key, title, text)).select(
-        key, title, F.filter("filtered_words", lambda w: w != "").alias("filtered_words")))
+    # What the two stages make, as columns: words need not leave Spark's own rows.
+    stopped = [w.lower() for w in stages[1].getStopWords()]
+    tokens = cleaned_texts(df, key, title, text).select(key, title, F.filter(
+        F.split(F.lower("description_clean"), r"\s"), lambda w: (w != "") & ~w.isin(stopped)).alias("filtered_words"))
     counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(slots)], inputCol="slots",
                                                    outputCol="features")
-    placed = tokens.withColumn("slots", term_slots("filtered_words", slots))
+    placed = materialise(tokens.select(key, title, term_slots("filtered_words", slots).alias("slots")))
     lda = topic_model(placed, k, max_iter, slots, partitions, seed, key, "slots")
 
-    vectors = counter.transform(placed.withColumn("slots", F.col("slots").cast("array<string>")))
-    weights = lda.transform(vectors.select(key, title, "features")).select(key, title, vector_to_array("topic_weights").alias("_w"))
+    weights = predicted(placed, lda, "slots", "_w")
     heaviest = F.nullif(F.array_max("_w"), F.lit(0.0))
     assigned = weights.select(key, title, (F.array_position("_w", heaviest) - 1).cast("int").alias("topic"),
                               heaviest.alias("weight"), F.aggregate("_w", F.lit(0.0), lambda a, w: a + w).alias("total"))

@@ -55,3 +55,30 @@ def test_draws_are_those_of_java(spark, monkeypatch):
 def test_pieces_hold_whole_texts(monkeypatch):
     monkeypatch.setattr(tm, "AT_ONCE", 10)
     assert list(tm._cut(np.array([0, 4, 10, 11, 40, 40, 45]))) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+
+
+def test_predictions_are_the_librarys(spark, texts, monkeypatch):
+    """Shares of topics made for many texts at once, against those that MLlib's model makes one by one."""
+    monkeypatch.setattr(tm, "AT_ONCE", 500)
+    model = tm.topic_model(texts, 4, 5, SLOTS, 3, 42, "id", "words")
+    more = texts.unionByName(spark.createDataFrame([(9001, None)], "id int, words array<int>"))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(SLOTS)], inputCol="t", outputCol="features")
+    vectors = counter.transform(more.withColumn("t", F.coalesce(F.col("words").cast("array<string>"), F.array())))
+    want = sorted((str(r["id"]), r["topic_weights"].toArray().tolist()) for r in model.transform(vectors).collect())
+    monkeypatch.setattr(tm, "TOGETHER", 300)
+    got = sorted((str(r["id"]), r["w"]) for r in tm.predicted(more, model, "words", "w").collect())
+    assert [i for i, _ in got] == [i for i, _ in want] and len(got) == 155
+    assert np.allclose([w for _, w in got], [w for _, w in want], rtol=1e-7, atol=1e-12)
+
+
+def test_digamma_is_a_derivative():
+    x = np.array([1e-3, 0.3, 1.0, 4.5, 60.0])
+    want = [-1000.5755719318103, -3.5025242222001332, -0.5772156649015329, 1.388870926359534, 4.085988081383544]
+    assert np.allclose(tm.digamma(x), want, rtol=1e-12)
+    assert tm.digamma(np.zeros(2)).tolist() == [-np.inf] * 2
+
+
+def test_lists_as_bytes_come_back():
+    values, ends = np.arange(7, dtype=np.int32), np.array([0, 3, 3, 7])
+    back, at = tm._numbers(tm._bytes(values, ends).slice(1), np.int32)
+    assert back.tolist() == [3, 4, 5, 6] and at.tolist() == [0, 0, 4]
