@@ -29,6 +29,8 @@ GROUPS_PER_CORE, MOST_USERS = 2, 262_144
 SLACK = 1e-6
 #: Items in one matrix product, pairs in one; items in one row that is sent, 10,000 of which may meet in one Arrow batch.
 CHUNK, PAIRS, ROW = 2048, 1 << 20, 32
+#: Candidates whose scores are added up at once.
+FOUND = 1 << 14
 NOBODY = np.iinfo(np.int64).max
 
 
@@ -115,26 +117,30 @@ class Best:
         longest, within = lengths.max(), lengths[lengths > 0]
         single = self.single and (not len(within) or 1e-15 < within.min() and longest < 1e15)
         kind, slack = (np.float32, SLACK + (items.shape[1] + 4) * 2.0 ** -24) if single else (np.float64, SLACK)
-        across = items.T.astype(kind)
+        across = np.ascontiguousarray(items.T, kind)
         wanting = np.flatnonzero((self.lengths > 0) & (self.left <= self.reach * far * (1 + SLACK)))
         step = max(1, PAIRS // len(ids))
+        products = np.empty((min(step, len(wanting)), len(ids)), kind)
         for begin in range(0, len(wanting), step):
             at = wanting[begin:begin + step]
-            rough = self.vectors[at].astype(kind) @ across
+            rough = np.matmul(self.vectors[at].astype(kind), across, out=products[:len(at)])
             cut = self.floor[at].astype(np.float64)
             none = np.flatnonzero(cut == -np.inf)
             if len(none) and len(ids) > self.k:
                 cut[none] = np.partition(rough[none], len(ids) - self.k, axis=1)[:, len(ids) - self.k]
             cut -= slack * longest * self.lengths[at]
             # To the next number below, so that a comparison in single precision drops nothing.
-            found = np.flatnonzero(rough >= np.nextafter(cut.astype(kind), kind(-np.inf))[:, None])
+            cut = np.nextafter(cut.astype(kind), kind(-np.inf))
+            # Soon most users find nothing in most products, which their best score tells; what is not a number is looked at.
+            some = np.flatnonzero(~(rough.max(axis=1) < cut))
+            found = np.flatnonzero(rough[some] >= cut[some, None])
             if not len(found):
                 continue
             user, item = np.divmod(found, len(ids))
-            score = np.zeros(len(user))
-            for c in range(items.shape[1]):
-                score += self.vectors[at[user], c] * items[item, c]
-            score = score.astype(np.float32)
+            user = some[user]
+            # A running sum, so in the order of the coordinates.
+            score = np.concatenate([np.cumsum(self.vectors[at[user[i:i + FOUND]]] * items[item[i:i + FOUND]], axis=1)[:, -1]
+                                    for i in range(0, len(user), FOUND)]).astype(np.float32)
             keep = score >= self.floor[at[user]]
             if keep.any():
                 self._merge(at, user[keep], ids[item[keep]], score[keep])

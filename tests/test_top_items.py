@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import recommend as rec
+from shelfmark.operators import top_items as ti
 from shelfmark.operators.top_items import blocks_needed, top_items
 
 SCHEMA = "id long, features array<double>"
@@ -121,3 +122,36 @@ def test_recommendations_are_those_of_full_scoring(spark):
             scores.setdefault((name, r["user_idx"]), []).append(r["score"])
     for user in range(50):
         assert sorted(scores["got", user]) == pytest.approx(sorted(scores["full", user]), abs=1e-5)
+
+
+def test_many_ties_are_scored_some_at_a_time(spark, monkeypatch):
+    """Scores are added up in pieces, coordinate by coordinate, whoever else is a candidate; vectors that overflow do no harm."""
+    monkeypatch.setattr(ti, "FOUND", 7)
+    rng = np.random.default_rng(8)
+    users, items = rng.normal(size=(9, 5)), np.repeat(rng.normal(size=(20, 5)), 15, axis=0)
+    ids = rng.permutation(len(items)).astype(np.int64)
+    best = ti.Best(users, 4, ti.Shape.of(len(items), items.sum(axis=0), items.T @ items))
+    for begin in range(0, len(items), 64):
+        best.offer(ids[begin:begin + 64], items[begin:begin + 64], np.inf)
+    for user, found, scores in zip(users, *best.lists()):
+        exact = np.zeros(len(items))
+        for c in range(5):
+            exact += user[c] * items[:, c]
+        order = np.lexsort((ids, -exact.astype(np.float32)))[:4]
+        assert found == ids[order].tolist() and scores == exact.astype(np.float32)[order].tolist()
+
+
+def test_users_without_a_better_item_are_not_searched(monkeypatch):
+    """Of a product of users and items only rows whose greatest score reaches the floor are gone through."""
+    rng = np.random.default_rng(9)
+    users, items = rng.normal(size=(300, 6)), rng.normal(size=(4000, 6))
+    best = ti.Best(users, 3, ti.Shape.of(len(items), items.sum(axis=0), items.T @ items))
+    seen, whole = [], np.flatnonzero
+    for begin in range(0, 4000, 400):
+        monkeypatch.setattr(np, "flatnonzero", lambda x: (seen.append((begin, x.shape)), whole(x))[1])
+        best.offer(np.arange(begin, begin + 400), items[begin:begin + 400], np.inf)
+    monkeypatch.undo()
+    gone_through = [shape[0] for begin, shape in seen if len(shape) == 2 and begin >= 2000]
+    assert len(gone_through) == 5 and max(gone_through) < 200
+    exact = users @ items.T
+    assert [sorted(f) for f in best.lists()[0]] == [sorted(np.argsort(-e)[:3].tolist()) for e in exact]
