@@ -222,6 +222,10 @@ def _labelled(kept: DataFrame, roots: DataFrame) -> DataFrame:
 POSITIONS, BANDS, ROWS = 256, 24, 5
 #: Signatures nominate pairs down to so many standard deviations below the similarity asked for.
 DEVIATIONS = 5
+#: Below so many no pair is compared: of 10^17 pairs of 0.8 one is there, fewer than texts that share a 64-bit hash.
+CERTAIN = 10
+#: Texts from which the commonest shingles are read, and how many of these are put last.
+SAMPLED, COMMON = 8192, 1 << 16
 #: A node that is compared by its shingles weighs 1, and 1 more for each so many of them.
 SHINGLES = 1024
 _STIRS = np.random.default_rng(2).integers(0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -250,9 +254,9 @@ def shingle_set(text: Column, size: int) -> Column:
     return sets(text)
 
 
-def _least_equal(similarity: float) -> int:
+def _least_equal(similarity: float, deviations: int = DEVIATIONS) -> int:
     """Equal bytes that signatures of sets of ``similarity`` have but for once in some millions."""
-    return int(POSITIONS * (similarity - DEVIATIONS * (similarity * (1 - similarity) / POSITIONS) ** 0.5))
+    return int(POSITIONS * (similarity - deviations * (similarity * (1 - similarity) / POSITIONS) ** 0.5))
 
 
 def _signatures(rows: pd.DataFrame) -> np.ndarray:
@@ -289,7 +293,7 @@ def fingerprint_links(marked: DataFrame, bits: int) -> DataFrame:
 
 def similar_sets(similarity: float) -> Compared:
     """Compares rows by the Jaccard similarity of their ``shingles``, counted only where their ``mark`` allows it."""
-    least = _least_equal(similarity)
+    least = _least_equal(similarity, CERTAIN)
 
     def compared(rows: pd.DataFrame) -> tuple[np.ndarray, Like]:
         marks = _signatures(rows)
@@ -325,6 +329,64 @@ def verified_links(sets: DataFrame, similarity: float) -> DataFrame:
     return _spanning_links(postings, similar_sets(similarity), sets.select("node", "mark", "shingles"))
 
 
+def common_shingles(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, counts) of shingles that several texts of a sample share: which are first says nothing of a result."""
+    @F.pandas_udf("array<long>")
+    def sets(bodies: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in bodies], dtype=object)
+
+    sampled = texts.toDF("text").sample(min(1.0, SAMPLED / max(texts.count(), 1)), seed=SEED)
+    found = sampled.select(F.explode(sets("text")).alias("shingle")).groupBy("shingle").count().filter(
+        "count > 2").orderBy(F.desc("count"), "shingle").limit(COMMON).toPandas()
+    hashes = found["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found["count"].to_numpy(np.int64)[order]
+
+
+def rarest(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Those shingles of a set of which every set of ``similarity`` or more has one among its own.
+
+    Sets of that similarity share so large a part of each that the first shingle they share,
+    in any order, is not among the last of either: the rarest come first here.
+    """
+    own, (known, counts) = np.unique(hashes), common
+    last = np.zeros(len(own), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        last = np.where(known[at] == own, counts[at], 0)
+    least = int(np.ceil(similarity * len(own) - 1e-9))
+    return own[np.lexsort((own, last))][:len(own) - least + 1]
+
+
+def missed_links(kept: DataFrame, marked: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that join all texts of different ``roots`` (node, root) that may be of ``similarity``.
+
+    ``kept`` has the ``rarest`` shingles of each text. Lists of them whose texts are all of one
+    root, nearly all, are done with before anything is sent for a comparison.
+    """
+    own = F.coalesce("root", "node").alias("root")
+    # Dealt by shingle once, for the roots of each list as for its texts.
+    postings = kept.select("node", "rarest").join(roots, "node", "left").select(
+        "node", own, F.explode("rarest").alias("value")).repartition("value")
+    several = postings.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                            F.count("node").alias("count")).filter("low <> high AND count > 1")
+    lists = materialise(postings.join(several.select("value"), "value").groupBy("value", "node").agg(
+        F.min("root").alias("root")).select("node", "root", F.lit(0).alias("set"), "value"))
+    least = _least_equal(similarity, CERTAIN)
+
+    def compared(rows: pd.DataFrame) -> tuple[np.ndarray, Like]:
+        marks, groups = _signatures(rows), rows["root"].to_numpy()
+
+        def like(one: int, others: np.ndarray) -> np.ndarray:
+            found = groups[others] != groups[one]
+            found[found] = (marks[others[found]] == marks[one]).sum(axis=1) >= least
+            return found
+
+        return np.arange(len(rows)), like
+
+    return _spanning_links(lists, compared, marked.join(roots, "node", "left").select("node", "mark", own))
+
+
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: int = 3, text: str = "text",
              doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id stays.
@@ -334,15 +396,18 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
     (``candidate_groups``), the sets decide (``verified_links``): fingerprints of texts
     that share 0.8 of their shingles differ in some ten bits, far beyond what an index of
     eight bytes can find, and texts that are mostly one shingle have equal ones whatever
-    else they hold. Only texts of a group are read again. Texts without words are copies
-    of each other. NULL ids come
+    else they hold. Pairs that share no key are found by their rarest shingles
+    (``missed_links``), so that none is left out. Only texts of a group are read again.
+    Texts without words are copies of each other. NULL ids come
     last; rows with equal ids are told apart by a hash of the whole row, and of rows that
     agree in everything one stays.
     """
     row = F.xxhash64(*[F.col(f"`{c}`").cast("string") if t.startswith("map") else F.col(f"`{c}`")
                        for c, t in docs.dtypes])
 
-    @F.pandas_udf("node long, print long, mark binary, keys array<long>")
+    common = common_shingles(docs.select(text), shingle)
+
+    @F.pandas_udf("node long, print long, mark binary, keys array<long>, rarest array<long>")
     def marks(texts: pd.Series) -> pd.DataFrame:
         from xxhash import xxh64_intdigest
 
@@ -350,8 +415,9 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
         for body in texts:
             hashes = shingle_hashes(body, shingle)
             node = xxh64_intdigest(b" ".join((body or "").encode("utf-8", "replace").lower().split()), SEED)
-            made.append((node, majority_bits(hashes), *byte_signature(hashes)))
-        frame = pd.DataFrame(made, columns=["node", "print", "mark", "keys"])
+            made.append((node, majority_bits(hashes), *byte_signature(hashes),
+                         rarest(hashes, similarity, common).view(np.int64)))
+        frame = pd.DataFrame(made, columns=["node", "print", "mark", "keys", "rarest"])
         for column in ("node", "print"):
             frame[column] = frame[column].to_numpy(dtype=np.uint64).view(np.int64)
         return frame
@@ -361,16 +427,23 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bits: i
     marked = materialise(kept.select("node", "print", "mark", "keys").dropDuplicates(["node"]))
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     by_text = materialise(kept.groupBy("node").agg(F.min(first).alias("first")))
-    maybe = candidate_groups(marked, similarity, bits)
-    read = by_text.join(maybe, "node").select("node", "root", F.col("first.doc_id").alias("_id"),
-                                              F.col("first.row").alias("_row"))
-    bodies = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), F.col(text).alias("text")).join(
-        read, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
-    # Rows that agree in everything are one text.
-    sets = materialise(bodies.select("node", "root", "text").dropDuplicates(["node"]).select(
-        "node", "root", shingle_set(F.col("text"), shingle).alias("shingles")).join(
-        marked.select("node", "mark"), "node"))
-    roots = materialise(components(verified_links(sets, similarity)))
+
+    def sets_of(groups: DataFrame) -> DataFrame:
+        read = by_text.join(groups, "node").select("node", "root", F.col("first.doc_id").alias("_id"),
+                                                   F.col("first.row").alias("_row"))
+        bodies = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row"), F.col(text).alias("text")).join(
+            read, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
+        # Rows that agree in everything are one text.
+        return materialise(bodies.select("node", "root", "text").dropDuplicates(["node"]).select(
+            "node", "root", shingle_set(F.col("text"), shingle).alias("shingles")).join(
+            marked.select("node", "mark"), "node"))
+
+    near = materialise(verified_links(sets_of(candidate_groups(marked, similarity, bits)), similarity))
+    roots = materialise(components(near))
+    missed = materialise(missed_links(kept, marked, roots, similarity))
+    if not missed.isEmpty():
+        further = verified_links(sets_of(materialise(components(missed))), similarity)
+        roots = materialise(components(near.union(further)))
     by_root = by_text.join(roots, "node", "left").groupBy(
         F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     stay = materialise(by_root.select(F.col("first.doc_id").alias("_stay_id"), F.col("first.row").alias("_stay_row")))

@@ -182,3 +182,36 @@ def test_one_of_each_group_stays(spark, awkward):
 def test_empty_table(nothing):
     assert simhash.near_duplicates(nothing).count() == 0
     assert simhash.keep_one(nothing).count() == 0
+
+
+def test_pairs_that_share_no_key_are_found(spark, monkeypatch):
+    """What the signatures' keys miss, here all that they could find, the rarest shingles do not."""
+    texts, kept = [], set()
+    for k in range(20):
+        start = 10_000 * (k + 1)
+        # 400 of 500 shingles shared, or one shared less; all texts begin alike.
+        shift = 51 if k % 2 else 50
+        kept |= {2 * k} | ({2 * k + 1} if k % 2 else set())
+        texts += [numbered((0, 30), (start, start + 424)), numbered((0, 30), (start, start + 374), (start + 5000, start + 5000 + shift))]
+    sets = [shingles(t) for t in texts]
+    assert [len(a & b) / len(a | b) >= 0.8 for a, b in zip(sets[::2], sets[1::2])] == [k % 2 == 0 for k in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(simhash, "candidate_groups", lambda marked, similarity, bits: spark.createDataFrame([], "node long, root long"))
+    for block in (4096, 8):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == kept
+
+
+def test_like_sets_share_one_of_their_rarest():
+    rng = np.random.default_rng(6)
+    common = np.sort(rng.integers(0, 2 ** 63, 60, dtype=np.uint64))
+    counts = rng.integers(3, 90, 60)
+    for n in range(1, 90):
+        own = np.concatenate([rng.integers(0, 2 ** 63, n, dtype=np.uint64), common[:rng.integers(0, 60)]])
+        for gone in range(len(own) // 5 + 1):
+            other = rng.permutation(own)[gone:]
+            if len(other) / len(own) >= 0.8:
+                one, two = (simhash.rarest(x, 0.8, (common, counts)) for x in (own, other))
+                assert set(one.tolist()) & set(two.tolist())
+    assert len(simhash.rarest(own, 0.8, (common[:0], counts[:0]))) == len(own) - -(-len(own) * 4 // 5) + 1
+    assert simhash.rarest(own[:0], 0.8, (common, counts)).tolist() == []
